@@ -26,26 +26,33 @@ def drop_blank_payloads(records: DataFrame) -> DataFrame:
     return records.filter(F.col("value").isNotNull() & (F.trim(F.col("value")) != ""))
 
 
-def parse_edit_records(records: DataFrame, schema: T.StructType = EDIT_EVENT_SCHEMA) -> DataFrame:
-    """Parses the JSON payload and derives event time, size delta and the event identity.
+def parse_edit_payloads(records: DataFrame, schema: T.StructType = EDIT_EVENT_SCHEMA) -> DataFrame:
+    """Parses the JSON payload and derives ``event_key``, ``event_time`` and ``size_delta``.
 
-    Unparsable JSON, blank payloads and non-integral timestamps yield a NULL event time and are
-    dropped. ``event_key`` is the bus key, or, for records published without one, the same
-    identity computed from the payload (so key-less records do not collapse into one).
+    Rows whose JSON is broken or whose timestamp is not an integral number come back with a NULL
+    ``event_time``; :func:`valid_events` removes them. ``event_key`` is the bus key or, for records
+    published without one, the same identity computed from the payload (so key-less records do not
+    collapse into one).
     """
     decoded = drop_blank_payloads(decode_records(records))
     parsed = decoded.select("key", F.from_json("value", schema).alias("e")).select("key", "e.*")
-    return (
-        parsed.withColumns(
-            {
-                "event_key": F.coalesce(F.col("key"), message_key()),
-                "event_time": event_time_from_epoch("timestamp"),
-                "size_delta": size_delta(),
-            }
-        )
-        .drop("key")
-        .filter(F.col("event_time").isNotNull())
-    )
+    return parsed.withColumns(
+        {
+            "event_key": F.coalesce(F.col("key"), message_key()),
+            "event_time": event_time_from_epoch("timestamp"),
+            "size_delta": size_delta(),
+        }
+    ).drop("key")
+
+
+def valid_events(parsed: DataFrame) -> DataFrame:
+    """Drops events without an event time (malformed payloads)."""
+    return parsed.filter(F.col("event_time").isNotNull())
+
+
+def parse_edit_records(records: DataFrame, schema: T.StructType = EDIT_EVENT_SCHEMA) -> DataFrame:
+    """Silver edit events from raw ``key, value`` records: parse, derive, drop malformed."""
+    return valid_events(parse_edit_payloads(records, schema))
 
 
 def only_wiki(df: DataFrame, wiki: str | None) -> DataFrame:

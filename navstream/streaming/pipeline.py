@@ -17,9 +17,16 @@ from navstream.sinks import streams
 
 
 def silver_edits(records: DataFrame, settings: StreamSettings = StreamSettings()) -> DataFrame:
-    """Parse, declare the watermark once (widest delay downstream), drop re-delivered events."""
-    parsed = E.parse_edit_records(records)
-    return E.drop_duplicate_events(E.with_event_watermark(parsed, settings.watermark))
+    """Parse, declare the watermark once (widest delay downstream), drop malformed and re-delivered events.
+
+    The event-time filter sits above the watermark on purpose: Catalyst does not push a predicate
+    on the event-time column through it, so the JSON payload is parsed once per record instead of
+    being re-parsed inside a pushed-down filter.
+    """
+    parsed = E.parse_edit_payloads(records)
+    watermarked = E.with_event_watermark(parsed, settings.watermark)
+    valid = E.valid_events(watermarked)
+    return E.drop_duplicate_events(valid)
 
 
 def edit_marts(silver: DataFrame, settings: StreamSettings = StreamSettings()) -> dict[str, DataFrame]:
