@@ -15,9 +15,20 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingested_at", ingested_at())
 
 
+def _field(events: DataFrame, name: str) -> F.Column:
+    top = name.split(".")[0]
+    return F.col(name) if top in events.columns else F.lit(None)
+
+
 def to_bus_records(events: DataFrame) -> DataFrame:
-    """``key, value``: the event identity and the event as JSON (NULL fields omitted)."""
-    return events.select(message_key().alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
+    """``key, value``: the event identity and the event as JSON (NULL fields omitted).
+
+    Payload fields the key needs but the frame lacks count as missing ('' in the key).
+    """
+    key = message_key(
+        _field(events, "wiki"), _field(events, "revision.new"), _field(events, "timestamp"), _field(events, "title")
+    )
+    return events.select(key.alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
 
 
 def kafka_sink_options(settings: KafkaSettings = KafkaSettings()) -> dict[str, str]:
