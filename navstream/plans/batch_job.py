@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from navstream.operators import clickstream as C
 from navstream.operators.quality import ANY_VIOLATION, REASON, with_contract_flags
 from navstream.operators.ranking import top_k
+from navstream.plans.quality_job import QUARANTINE_SORT
 from navstream.schemas import CLICKSTREAM_SCHEMA
 from navstream.session import build_session, checkpoint_root
 from navstream.settings import BatchSettings
@@ -107,7 +108,7 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     clean = this_run.filter(F.col(STATUS) == "clean").select(*CLICKSTREAM_SCHEMA.fieldNames(), "month")
     bad = this_run.filter(F.col(STATUS) == "quarantine").select(*CLICKSTREAM_SCHEMA.fieldNames(), REASON, "month")
 
-    write_partitioned(bad, settings.quarantine_dir, sort_by=(REASON,))
+    write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT)
     drop_partitions(spark, settings.quarantine_dir, "month", no_bad)
     report.written.append(settings.quarantine_dir)
 

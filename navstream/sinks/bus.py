@@ -31,6 +31,12 @@ def to_bus_records(events: DataFrame) -> DataFrame:
     return events.select(key.alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
 
 
+def publishable(events: DataFrame, wiki: str | None = "enwiki") -> DataFrame:
+    """Producer side in one step: keep one wiki (None keeps all), stamp, key and serialise."""
+    kept = events if wiki is None else events.filter(F.col("wiki") == wiki)
+    return to_bus_records(enrich(kept))
+
+
 def kafka_sink_options(settings: KafkaSettings = KafkaSettings()) -> dict[str, str]:
     """Topic plus producer tuning, passed through as ``kafka.``-prefixed options."""
     return {

@@ -76,3 +76,25 @@ def test_batch_job_end_to_end(spark, workdir):
     assert read_mart(spark, out, "monthly_trend").filter(F.col("month") == "2024-11").agg(
         F.sum("monthly_clicks")
     ).first()[0] == sum(1 + (i * 7) % 11 for i in range(200))
+
+
+def test_validate_and_quarantine_step(spark, workdir):
+    from navstream.plans.quality_job import quarantine_report, validate_and_quarantine
+
+    schema = "prev string, curr string, type string, n bigint, month string"
+    path = str(workdir / "q")
+    assert quarantine_report(spark, path).count() == 0  # nothing quarantined yet
+    first = spark.createDataFrame(
+        [("a", "b", "link", 1, "2024-10"), (None, "b", "link", 1, "2024-10"), ("a", "b", "bogus", 1, "2024-11")], schema
+    )
+    clean, n_bad = validate_and_quarantine(spark, first, path)
+    assert (clean.count(), n_bad) == (1, 2)
+    assert rows(quarantine_report(spark, path), "month", "_reason", "count") == [
+        ("2024-10", "null_prev", 1),
+        ("2024-11", "bad_type", 1),
+    ]
+    # November re-delivered clean: its rejects go, October's stay.
+    _, n_bad = validate_and_quarantine(spark, spark.createDataFrame([("a", "b", "link", 1, "2024-11")], schema), path)
+    assert n_bad == 0
+    assert rows(quarantine_report(spark, path), "month") == [("2024-10",)]
+    assert rows(quarantine_report(spark, path, month="2024-10"), "month") == [("2024-10",)]

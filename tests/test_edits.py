@@ -135,3 +135,11 @@ def test_windows_tumbling_and_sliding(spark):
 def test_pair_label_null(spark):
     df = spark.createDataFrame([("a", "b"), (None, "b")], "prev string, curr string")
     assert [r[0] for r in df.select(pair_label()).collect()] == ["a  →  b", None]
+
+
+def test_publishable_filters_wiki_and_parses_back(spark):
+    edits = K._edits(spark, SF_SMALL).select("wiki", "title", "user", "type", "bot", F.lit(T0).alias("timestamp"))
+    records = __import__("navstream.sinks.bus", fromlist=["publishable"]).publishable(edits, "frwiki")
+    back = E.parse_edit_records(records)
+    assert back.count() == edits.filter(F.col("wiki") == "frwiki").count()
+    assert {r["wiki"] for r in back.select("wiki").distinct().collect()} == {"frwiki"}

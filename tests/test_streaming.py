@@ -108,3 +108,19 @@ def test_console_monitor_and_stream_equals_batch(spark, workdir):
     assert rows(got.select("window_start", "wiki", "edit_count", "bot_edits")) == rows(
         closed.select("window_start", "wiki", "edit_count", "bot_edits")
     )
+
+
+def test_processing_time_queries_stop_together(spark, workdir):
+    from navstream.streaming.pipeline import await_any
+
+    landing = workdir / "landing"
+    _land(spark, landing, "b1", BATCH_1)
+    settings = StreamSettings(output_dir=str(workdir / "out"), checkpoint_dir=str(workdir / "chk"), trigger_seconds=1)
+    queries = start_streaming(spark, settings, records=read_record_files_stream(spark, f"{landing}/*"), console=False)
+    assert all(q.isActive for q in queries.values())
+    for q in queries.values():
+        q.processAllAvailable()
+    seen = sum(p["numInputRows"] for p in queries["edit_type_breakdown"].recentProgress)
+    assert seen == len(BATCH_1)
+    await_any(spark, queries, timeout=2)
+    assert not any(q.isActive for q in queries.values())
