@@ -12,6 +12,13 @@ from navstream.settings import KafkaSettings, StreamSettings
 from navstream.sources.bus import read_topic_stream
 from navstream.streaming.pipeline import StreamLayout, await_any, silver_edits, start_marts, start_silver_first
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def session_conf(settings: StreamSettings) -> dict[str, str]:
+    """Session settings the streaming layer needs (state store provider)."""
+    return {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER} if settings.rocksdb_state else {}
+
 
 def start_streaming(
     spark: SparkSession,
@@ -40,13 +47,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output-dir", default=StreamSettings.output_dir)
     parser.add_argument("--checkpoint-dir", default=StreamSettings.checkpoint_dir)
     parser.add_argument("--silver-first", action="store_true")
+    parser.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB")
     args = parser.parse_args(argv)
     settings = StreamSettings(
         output_dir=args.output_dir,
         checkpoint_dir=args.checkpoint_dir,
+        rocksdb_state=args.rocksdb,
         kafka=KafkaSettings(bootstrap_servers=args.bootstrap_servers, topic=args.topic),
     )
-    spark = build_session("navstream-streaming")
+    spark = build_session("navstream-streaming", extra=session_conf(settings))
     queries = start_streaming(spark, settings, silver_first=args.silver_first)
     await_any(spark, queries)
 

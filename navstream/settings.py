@@ -64,6 +64,8 @@ class StreamSettings:
     checkpoint_dir: str = "data/streaming_checkpoint"
     wiki_filter: str | None = "enwiki"
     console_rows: int = 10
+    # Keep dedup/window state in RocksDB (off-heap, spills to local disk) instead of the JVM heap.
+    rocksdb_state: bool = False
     kafka: KafkaSettings = field(default_factory=KafkaSettings)
 
 
