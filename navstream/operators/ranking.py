@@ -41,6 +41,34 @@ def top_k(df: DataFrame, measures: Sequence[str], tie_break: Sequence[str], k: i
     return df.orderBy(*_ordering(measures, tie_break)).limit(k)
 
 
+def top_k_of_latest(
+    df: DataFrame,
+    latest_col: str,
+    measures: Sequence[str],
+    tie_break: Sequence[str],
+    k: int,
+    keep: Column | None = None,
+) -> DataFrame:
+    """Top-k rows of the group with the largest ``latest_col`` (latest month / window), in one pass.
+
+    Ordered by ``latest_col`` first, every row of the latest group precedes all other rows, so that
+    group's top-k is contained in the global top-k. The global top-k is a ``TakeOrderedAndProject``
+    (k rows per task, k after the merge); the max over those k rows is then taken on k rows only.
+    ``keep`` drops rows after the latest group is chosen (rows failing it sort after the kept rows
+    of their group, so they never displace one). Equivalent to
+    ``top_k(filter_latest(df, latest_col).filter(keep), ...)`` without evaluating ``df`` twice.
+    """
+    ordering = [F.desc_nulls_last(latest_col)]
+    if keep is not None:
+        df = df.withColumn("_keep", keep)
+        ordering.append(F.desc("_keep"))
+    head = df.orderBy(*ordering, *_ordering(measures, tie_break)).limit(k)
+    # A window without partitioning is safe here: its input is the k-row head, never the data.
+    head = head.withColumn("_latest", F.max(latest_col).over(Window.partitionBy()))
+    out = head.filter(F.col(latest_col) == F.col("_latest")).drop("_latest")
+    return out.filter(F.col("_keep")).drop("_keep") if keep is not None else out
+
+
 def filter_latest(df: DataFrame, col: str) -> DataFrame:
     """Rows whose ``col`` equals the column's maximum.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navstream.functions.events import pair_label
-from navstream.operators.ranking import filter_latest, top_k
+from navstream.operators.ranking import top_k, top_k_of_latest
 from navstream.settings import EXCLUDED_ARTICLES
 
 
@@ -20,26 +20,34 @@ def not_excluded(col: str, excluded: Sequence[str]) -> F.Column:
     return F.coalesce(~F.col(col).isin(*excluded), F.lit(True)) if excluded else F.lit(True)
 
 
-def _for_month(df: DataFrame, month: str | None) -> DataFrame:
-    return filter_latest(df, "month") if month is None else df.filter(F.col("month") == month)
+def _month_top_k(df: DataFrame, month: str | None, measures: list[str], tie_break: list[str], k: int) -> DataFrame:
+    """Top-k of one month; the latest month when ``month`` is None (a month filter prunes partitions)."""
+    if month is None:
+        return top_k_of_latest(df, "month", measures, tie_break, k)
+    return top_k(df.filter(F.col("month") == month), measures, tie_break, k)
 
 
 def top_inbound(
     indegree: DataFrame, month: str | None = None, k: int = 20, excluded: Sequence[str] = EXCLUDED_ARTICLES
 ) -> DataFrame:
-    """Top-k targets of one month (latest when ``month`` is None), minus excluded articles."""
-    rows = _for_month(indegree, month).filter(not_excluded("curr", excluded))
-    return top_k(rows, ["total_clicks"], ["curr"], k)
+    """Top-k targets of one month (latest when ``month`` is None), minus excluded articles.
+
+    The latest month is the mart's latest month whatever its articles; exclusion applies after.
+    """
+    keep = not_excluded("curr", excluded)
+    if month is None:
+        return top_k_of_latest(indegree, "month", ["total_clicks"], ["curr"], k, keep=keep)
+    return top_k(indegree.filter((F.col("month") == month) & keep), ["total_clicks"], ["curr"], k)
 
 
 def top_outbound(outdegree: DataFrame, month: str | None = None, k: int = 20) -> DataFrame:
     """Top-k referrers of one month."""
-    return top_k(_for_month(outdegree, month), ["total_clicks_sent"], ["prev"], k)
+    return _month_top_k(outdegree, month, ["total_clicks_sent"], ["prev"], k)
 
 
 def top_pairs(pairs: DataFrame, month: str | None = None, k: int = 20) -> DataFrame:
     """Top-k link pairs of one month with a ``prev  →  curr`` label."""
-    ranked = top_k(_for_month(pairs, month), ["total_clicks"], ["prev", "curr"], k)
+    ranked = _month_top_k(pairs, month, ["total_clicks"], ["prev", "curr"], k)
     return ranked.withColumn("link", pair_label("prev", "curr"))
 
 
@@ -96,4 +104,4 @@ def edit_rate_series(rate: DataFrame, wiki: str = "enwiki") -> DataFrame:
 
 def top_editors_latest_window(editors: DataFrame, k: int = 15) -> DataFrame:
     """Top-k editors of the most recent sliding window."""
-    return top_k(filter_latest(editors, "window_start"), ["edit_count"], ["user", "wiki"], k)
+    return top_k_of_latest(editors, "window_start", ["edit_count"], ["user", "wiki"], k)

@@ -81,3 +81,15 @@ def test_type_totals_and_latest_editors(spark):
     )
     got = [(r["user"], r["edit_count"]) for r in S.top_editors_latest_window(editors, k=2).collect()]
     assert got == [("u1", 3), ("u2", 3)]
+
+
+def test_latest_month_chosen_before_exclusion(spark):
+    df = spark.createDataFrame(
+        [("2024-10", "A", 5), ("2024-11", "Main_Page", 90)], "month string, curr string, total_clicks bigint"
+    )
+    assert S.top_inbound(df).count() == 0  # the latest month holds only excluded articles
+    assert [r["curr"] for r in S.top_inbound(df, excluded=()).collect()] == ["Main_Page"]
+    mixed = df.unionByName(spark.createDataFrame([("2024-11", f"x{i}", i) for i in range(30)], df.schema))
+    got = S.top_inbound(mixed, k=20).collect()
+    assert len(got) == 20 and {r["month"] for r in got} == {"2024-11"}
+    assert [r["total_clicks"] for r in got] == list(range(29, 9, -1))
