@@ -116,15 +116,18 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
     trend = spark.read.parquet(trend_path).filter(_month_filter(months))
     indegree_path = _out(settings, "top_articles_indegree")
-    write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",))
+    # Top-N marts hold at most n rows per month: one writer task, no range sampling.
+    write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), num_partitions=1)
 
     # The pair aggregate feeds two marts: compute it once and cut its lineage in the shared
     # checkpoint folder, so a lost executor does not force the scan and shuffle to rerun.
     checkpoint_root(spark)
     pairs = C.link_pairs(clean).checkpoint(eager=True)
     pairs_path, outdegree_path = _out(settings, "top_link_pairs"), _out(settings, "top_articles_outdegree")
-    write_partitioned(C.top_link_pairs(clean, settings.top_n, pairs=pairs), pairs_path, sort_by=("prev", "curr"))
-    write_partitioned(C.top_articles_by_outdegree(clean, settings.top_n, pairs=pairs), outdegree_path, sort_by=("prev",))
+    top_pairs = C.top_link_pairs(clean, settings.top_n, pairs=pairs)
+    write_partitioned(top_pairs, pairs_path, sort_by=("prev", "curr"), num_partitions=1)
+    top_out = C.top_articles_by_outdegree(clean, settings.top_n, pairs=pairs)
+    write_partitioned(top_out, outdegree_path, sort_by=("prev",), num_partitions=1)
     report.written += [trend_path, indegree_path, pairs_path, outdegree_path]
     return report
 

@@ -52,6 +52,8 @@ checked AS (
 
 
 CLEAN = f"WITH {CLICKSTREAM},{_flagged('clickstream')},\nclean AS (SELECT prev, curr, type, n, month FROM checked WHERE NOT bad)"
+# The batch job runs on the dirty dump: its marts come from the clean side of that contract.
+DIRTY_CLEAN = f"WITH {DIRTY},{_flagged('dirty')},\nclean AS (SELECT prev, curr, type, n, month FROM checked WHERE NOT bad)"
 DQ = f"WITH {DIRTY},{_flagged('dirty')}"
 
 INDEGREE = """
@@ -232,4 +234,13 @@ ORDER BY edit_count DESC, "user" ASC NULLS LAST, wiki ASC NULLS LAST LIMIT 15"""
     "edit_type_stream": f"WITH {SILVER}{_closed(_types('silver', '1 minute'), '1 minute')}",
     "top_editors_stream": f"WITH {SILVER}{_closed(_editors('silver', 5, 1), '5 minutes')}",
     "edits_dedup_stream": f"WITH {SILVER}\nSELECT {SILVER_COLUMNS} FROM silver",
+    "edits_per_wiki_stream_silver_first": f"WITH {SILVER}{_closed(_rate('silver', '1 hour'), '1 hour')}",
+    "job_top_articles_indegree": f"{DIRTY_CLEAN},{INDEGREE}\nSELECT * FROM indegree",
+    "job_top_articles_outdegree": f"{DIRTY_CLEAN},{OUTDEGREE}\nSELECT * FROM outdegree",
+    "job_top_link_pairs": f"{DIRTY_CLEAN},{PAIRS}\nSELECT * FROM pairs",
+    "job_monthly_trend": f"{DIRTY_CLEAN},{TREND}\nSELECT * FROM trend",
+    "job_quarantine_reasons": f"""{DQ}
+SELECT nullif(month, '') AS month, _reason, count(*) AS "count" FROM checked WHERE bad GROUP BY ALL""",
+    "job_status_counts": f"""{DQ}
+SELECT CASE WHEN bad THEN 'quarantine' ELSE 'clean' END AS status, count(*) AS rows FROM checked GROUP BY ALL""",
 }
