@@ -26,11 +26,12 @@ from navstream.operators import clickstream as C
 from navstream.operators.quality import ANY_VIOLATION, REASON, with_contract_flags
 from navstream.operators.ranking import top_k
 from navstream.plans.quality_job import QUARANTINE_SORT
-from navstream.schemas import CLICKSTREAM_SCHEMA
+from navstream.schemas import CHECKED_SCHEMA, CLICKSTREAM_SCHEMA, MART_SCHEMAS
 from navstream.session import build_session, checkpoint_root
 from navstream.settings import BatchSettings
 from navstream.sinks.tables import drop_partitions, preview, write_partitioned
 from navstream.sources.clickstream import read_clickstream
+from navstream.sources.tables import read_table
 
 STATUS = "status"
 CHECKED = "clickstream_checked"
@@ -104,7 +105,7 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     drop_partitions(spark, f"{checked_path}/{STATUS}=quarantine", "month", no_bad)
     report.written.append(checked_path)
 
-    this_run = spark.read.parquet(checked_path).filter(_month_filter(months))
+    this_run = read_table(spark, checked_path, CHECKED_SCHEMA).filter(_month_filter(months))
     clean = this_run.filter(F.col(STATUS) == "clean").select(*CLICKSTREAM_SCHEMA.fieldNames(), "month")
     bad = this_run.filter(F.col(STATUS) == "quarantine").select(*CLICKSTREAM_SCHEMA.fieldNames(), REASON, "month")
 
@@ -114,7 +115,7 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
 
     trend_path = _out(settings, "monthly_trend")
     write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
-    trend = spark.read.parquet(trend_path).filter(_month_filter(months))
+    trend = read_table(spark, trend_path, MART_SCHEMAS["monthly_trend"]).filter(_month_filter(months))
     indegree_path = _out(settings, "top_articles_indegree")
     # Top-N marts hold at most n rows per month: one writer task, no range sampling.
     write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), num_partitions=1)

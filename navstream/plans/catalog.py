@@ -24,7 +24,8 @@ from navstream.plans.batch_job import CHECKED, STATUS, run_batch
 from navstream.sinks.streams import parquet_append
 from navstream.sources import standins
 from navstream.sources.bus import RECORD_SCHEMA
-from navstream.sources.tables import read_mart, read_quarantine
+from navstream.schemas import CHECKED_SCHEMA
+from navstream.sources.tables import read_mart, read_quarantine, read_table
 from navstream.streaming.pipeline import StreamLayout, drain, silver_edits, start_silver_first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -312,7 +313,7 @@ def job_quarantine_reasons(spark, sf_dir):
 
 def job_status_counts(spark, sf_dir):
     """Rows per status of the checked table (clean + quarantine = raw)."""
-    checked = spark.read.parquet(f"{batch_job_output(spark, sf_dir).output_dir}/{CHECKED}")
+    checked = read_table(spark, f"{batch_job_output(spark, sf_dir).output_dir}/{CHECKED}", CHECKED_SCHEMA)
     return checked.groupBy(STATUS).agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -24,6 +24,16 @@ QUARANTINE_SCHEMA = T.StructType(
     + [T.StructField("_reason", T.StringType(), True), T.StructField("month", T.StringType(), True)]
 )
 
+# Every raw row after the contract, partitioned by (status, month).
+CHECKED_SCHEMA = T.StructType(
+    CLICKSTREAM_SCHEMA.fields
+    + [
+        T.StructField("_reason", T.StringType(), True),
+        T.StructField("status", T.StringType(), True),
+        T.StructField("month", T.StringType(), True),
+    ]
+)
+
 # JSON payload of one edit event on the topic.
 EDIT_EVENT_SCHEMA = T.StructType(
     [

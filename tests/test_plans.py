@@ -62,3 +62,23 @@ def test_sliding_window_expands_by_window_over_slide(spark):
     assert "Expand" in plan
     edits = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     assert edits.count() > 0 and F is not None
+
+
+def test_hot_keys_are_combined_before_every_shuffle(spark):
+    """A key holding a third of all rows must reach each shuffle pre-aggregated (one row per task)."""
+    from navstream.operators import clickstream as C
+    from navstream.operators import edits as E
+
+    n = 3000
+    hot = [("hub", f"t{i % 50}", "link", 1, "2024-10") for i in range(n // 3)]
+    rest = [(f"p{i}", f"t{i % 50}", "link", 1, "2024-10") for i in range(n - n // 3)]
+    df = spark.createDataFrame(hot + rest, "prev string, curr string, type string, n bigint, month string")
+    for out in (C.in_degree(df), C.out_degree(df), C.link_pairs(df), C.monthly_trend(df, ordered=False)):
+        plan = _plan(out)
+        for stage in plan.split("Exchange hashpartitioning")[1:]:
+            # directly below every hash exchange sits a partial (map-side) aggregate
+            assert "HashAggregate" in stage.split("\n", 3)[1] + stage.split("\n", 3)[2] and "partial_" in stage
+    (row,) = C.out_degree(df).filter("prev = 'hub'").collect()
+    assert (row["total_clicks_sent"], row["unique_targets"]) == (n // 3, 50)
+    dedup_plan = _plan(E.drop_duplicate_events(spark.createDataFrame([("k", 1)] * 10, "event_key string, v int")))
+    assert "HashAggregate" in dedup_plan and "first" in dedup_plan

@@ -103,7 +103,7 @@ def test_console_monitor_and_stream_equals_batch(spark, workdir):
     assert "console" in queries
     drain(queries)
     batch = E.edits_per_wiki(E.drop_duplicate_events(E.parse_edit_records(spark.createDataFrame(BATCH_1, RECORD_SCHEMA))))
-    closed = batch.filter(F.col("window_end") <= F.lit(datetime(2024, 5, 1, 10, 5)))
+    closed = batch.filter(F.col("window_end") <= F.lit("2024-05-01 10:05:00").cast("timestamp"))
     got = spark.read.parquet(layout.output("edits_per_wiki_per_minute"))
     assert rows(got.select("window_start", "wiki", "edit_count", "bot_edits")) == rows(
         closed.select("window_start", "wiki", "edit_count", "bot_edits")
@@ -124,3 +124,43 @@ def test_processing_time_queries_stop_together(spark, workdir):
     assert seen == len(BATCH_1)
     await_any(spark, queries, timeout=2)
     assert not any(q.isActive for q in queries.values())
+
+
+from hypothesis import HealthCheck, given, settings as hsettings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+event = st.tuples(
+    st.integers(1, 40),  # event id (repeats are replays of the same event)
+    st.integers(0, 45 * 60),  # seconds after 10:00
+    st.sampled_from(["enwiki", "dewiki", "frwiki"]),
+    st.sampled_from(["u1", "u2", "u3"]),
+    st.sampled_from([True, False, None]),
+)
+
+
+@hsettings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(event, min_size=1, max_size=40))
+def test_property_stream_equals_batch_on_closed_windows(spark, workdir, events):
+    # a replay is an exact copy: the first occurrence of an id defines the event
+    first = {}
+    for eid, sec, wiki, user, bot in events:
+        first.setdefault(eid, (sec, wiki, user, bot))
+    records = []
+    for eid, _, _, _, _ in events:
+        sec, wiki, user, bot = first[eid]
+        payload = {"wiki": wiki, "title": "P", "user": user, "type": "edit", "timestamp": _epoch(10, 0) + sec,
+                   "length": {"old": 5, "new": 5 + eid}, "revision": {"old": 0, "new": eid}}
+        if bot is not None:
+            payload["bot"] = bot
+        records.append((f"k{eid}", json.dumps(payload)))
+    run = workdir / f"run{len(list(workdir.iterdir()))}"
+    _land(spark, run / "landing", "b1", records)
+    settings = _settings(run)
+    drain(start_streaming(spark, settings, records=read_record_files_stream(spark, f"{run}/landing/*"),
+                          available_now=True, console=False))
+    batch = E.edits_per_wiki(E.drop_duplicate_events(E.parse_edit_records(spark.createDataFrame(records, RECORD_SCHEMA))))
+    watermark = datetime.fromtimestamp(_epoch(10, 0) + max(s for s, _, _, _ in first.values()) - 300, tz=timezone.utc)
+    closed = batch.filter(F.col("window_end") <= F.lit(watermark.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+    got = spark.read.parquet(str(run / "out" / "edits_per_wiki_per_minute"))
+    cols = ("window_start", "wiki", "edit_count", "bot_edits", "avg_size_delta")
+    assert rows(got.select(*cols)) == rows(closed.select(*cols))
