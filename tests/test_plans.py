@@ -11,7 +11,7 @@ from navstream.operators import serving as S
 from navstream.sinks.tables import write_partitioned
 from navstream.sources.tables import read_mart
 
-STREAMED = {"edits_per_wiki_stream", "edit_type_stream", "top_editors_stream", "edits_dedup_stream"}
+STREAMED = {"edits_per_wiki_stream", "edit_type_stream", "top_editors_stream", "edits_dedup_stream", "edits_per_wiki_stream_silver_first"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
 
 
