@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,18 +60,21 @@ def one_label(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     )
 
 
-def batches(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of at most ``size`` rows."""
+def batches(rows: Iterator[pa.RecordBatch], size: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of at most ``size`` rows and about ``limit`` bytes of strings (a longer row is
+    a slice of its own)."""
     for batch in rows:
-        for start in range(0, batch.num_rows, size):
-            yield batch.slice(start, size)
-
-
-def as_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema],
-        schema=schema,
-    )
+        weight = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                weight += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(weight)
+        start = 0
+        while start < batch.num_rows:
+            before = total[start - 1] if start else 0
+            end = max(start + 1, min(start + size, int(np.searchsorted(total, before + limit, side="right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def finite(x: np.ndarray) -> np.ndarray:
