@@ -21,9 +21,10 @@ BLOCK = 1024
 SMALL = 48
 
 
-def block_pairs(keyed: DataFrame, row_id: str) -> DataFrame:
-    """``keyed`` (key, row id, payload) without single rows, with (lo, hi, own): the pair of blocks a row is
-    compared in, and its own block; sorted so that groups are contiguous in a task."""
+def block_pairs(keyed: DataFrame, row_id: str, payload: DataFrame | None = None) -> DataFrame:
+    """``keyed`` (key, row id, ...) without single rows, with (lo, hi, own): the pair of blocks a row is
+    compared in, and its own block; sorted so that groups are contiguous in a task. ``payload`` (row id, ...)
+    is joined once single rows are gone."""
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64(row_id), F.col("blocks")).cast("int")
@@ -35,6 +36,8 @@ def block_pairs(keyed: DataFrame, row_id: str) -> DataFrame:
         .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
         .drop("n", "blocks", "other")
     )
+    if payload is not None:
+        spread = spread.join(payload, row_id)
     return spread.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own", row_id)
 
 
