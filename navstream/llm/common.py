@@ -79,3 +79,11 @@ def batches(rows: Iterator[pa.RecordBatch], size: int, limit: int = 4_000_000) -
 
 def finite(x: np.ndarray) -> np.ndarray:
     return np.nan_to_num(x, nan=0.0, posinf=0.0, neginf=0.0)
+
+
+def ragged_take(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``index`` of a flat array one after the other, and where each begins (and the end)."""
+    size = sizes[index]
+    ends = np.r_[0, np.cumsum(size)]
+    at = np.arange(ends[-1]) + np.repeat(starts[index] - ends[:-1], size)
+    return values[at], ends
