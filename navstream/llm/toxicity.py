@@ -155,12 +155,12 @@ def learn_lexicon(train: DataFrame) -> Lexicon:
 def with_features(rows: DataFrame, lexicon: Lexicon, text_col: str, keep: list[str]) -> DataFrame:
     """``keep`` columns and x array<double>, the features of the whole text."""
     prepare(rows.sparkSession)
-    source = rows.select(*keep, F.col(text_col).alias("text__"))
+    source = rows.select(*keep) if text_col in keep else rows.select(*keep, text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema) + ", x array<double>"
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 128):
-            x = pa.array([lexicon.features(t) for t in texts_as_bytes(part.column("text__"))], type=pa.list_(pa.float64()))
+            x = pa.array([lexicon.features(t) for t in texts_as_bytes(part.column(text_col))], type=pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], x], names=[*keep, "x"])
 
     return source.mapInArrow(run, schema)

@@ -78,11 +78,15 @@ def split_text(text: str | None, removed: list[int]) -> tuple[str | None, list[d
     return "\n".join(kept), spans
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, text, n_lines, n_removed, spans): one row per input row, ``text`` without its repeated lines."""
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: list[str] | None = None
+) -> DataFrame:
+    """(id, text, n_lines, n_removed, spans, rest): one row per input row, ``text`` without its repeated lines;
+    ``rest`` is a struct of the ``keep`` columns."""
     prepare(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    units = cut(line_units(source, min_words), "lines-units")
+    rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(0)
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"), rest.alias("rest"))
+    units = cut(line_units(source.drop("rest"), min_words), "lines-units")
     place = F.struct("id", "th", "line")
     repeated = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = units.join(repeated, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
@@ -91,7 +95,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.col("id").alias("rid"), F.col("th").alias("rth"), "lines"),
         "lines-removed",
     )
-    joined = source.join(removed, source["id"].eqNullSafe(removed["rid"]) & (source["th"] == removed["rth"]), "left").select("id", "text", "lines")
+    joined = source.join(removed, source["id"].eqNullSafe(removed["rid"]) & (source["th"] == removed["rth"]), "left").select("id", "text", "lines", "rest")
     id_type = dict(source.dtypes)["id"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +110,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     pa.array([0 if t is None else t.count("\n") + 1 for t in texts], pa.int64()),
                     pa.array([len(s) for _, s in done], pa.int64()),
                     pa.array([s for _, s in done], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    part.column("rest"),
                 ],
-                names=["id", "text", "n_lines", "n_removed", "spans"],
+                names=["id", "text", "n_lines", "n_removed", "spans", "rest"],
             )
 
-    return joined.mapInArrow(run, f"id {id_type}, text string, n_lines long, n_removed long, spans array<struct<start: long, end: long>>")
+    rest_type = dict(source.dtypes)["rest"]
+    return joined.mapInArrow(
+        run, f"id {id_type}, text string, n_lines long, n_removed long, spans array<struct<start: long, end: long>>, rest {rest_type}"
+    )
