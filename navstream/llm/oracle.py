@@ -7,16 +7,16 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ), w AS (
-  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM d
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d
 ), five AS (
-  SELECT doc_id, at, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS e,
+  SELECT doc_id, pos, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS e,
          lead(word, 4) OVER o AS f
-  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY at)
+  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
 ), twice AS (
-  SELECT doc_id, at FROM five WHERE f IS NOT NULL
+  SELECT doc_id, pos FROM five WHERE f IS NOT NULL
   QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c, e, f) > 1
 ), cover AS (
-  SELECT doc_id, count(DISTINCT at + k) AS n FROM twice, range(5) AS r(k) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT pos + k) AS n FROM twice, range(5) AS r(k) GROUP BY doc_id
 ), lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d
 ), per_line AS (
