@@ -28,12 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Spark's own switch: shuffle files of a finished query go with it instead of waiting for a garbage collection.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` below the shared checkpoint folder and reads it back: lineage ends there, and a
-    lost executor costs a re-read instead of a re-run."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` below the shared checkpoint folder and reads it back: lineage ends there, a lost
+    executor costs a re-read instead of a re-run, and the shuffles behind ``df`` leave the disk."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(id_col: str) -> Column:

@@ -23,7 +23,6 @@ ids; further columns are ignored; an empty input gives an empty result. Texts ar
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -175,10 +174,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = source.where("id IS NOT NULL")
     found = cut(ranked_blocks(text_blocks(known, length)), "doubling-blocks")
-    _release(docs)
     opened = found.where("NOT later").select("id", "place", "body")
     windows = cut(later_positions(open_positions(known, opened, length), length), "doubling-windows")
-    _release(docs)
     whole = found.where("later").select("id", F.struct("place", "body").alias("block"), F.lit(None).cast("struct<p: long, name: long>").alias("window"))
     single = windows.select("id", F.lit(None).cast("struct<place: long, body: long>").alias("block"), F.struct("p", "name").alias("window"))
     per_id = whole.unionByName(single).groupBy("id").agg(F.collect_list("block").alias("listed"), F.collect_list("window").alias("single"))
@@ -216,8 +213,3 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     done = _joined(source, per_id, "left").mapInArrow(run, schema).withColumn("id", F.col("id").cast(id_type))
     return done if keep_bytes else done.drop("kept")
 
-
-def _release(df: DataFrame) -> None:
-    """Lets Spark drop the shuffle files of a finished step now: they go when the driver collects the step's plan."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
