@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from navstream.llm.anchors import SEED_BYTES, blocks, name_hashes
+from navstream.llm.anchors import MIX, SEED_BYTES, blocks, name_hashes
 from navstream.llm.common import batches, cut, prepare, texts_as_bytes
 
 LENGTH = 50
@@ -84,7 +84,8 @@ def text_blocks(docs: DataFrame, length: int) -> DataFrame:
 
 
 def ranked_blocks(found: DataFrame) -> DataFrame:
-    """Blocks that matter: ``open`` ones (first id of their content, seed shared by other contents) and repeats."""
+    """Blocks that matter: open ones (first id of their content, seed shared by other contents) and repeats.
+    ``check`` is a part of the content's hash, enough to tell texts of one id apart."""
     same_seed = Window.partitionBy("seed").orderBy("body").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     same_body = Window.partitionBy("seed", "body")
     return (
@@ -92,7 +93,7 @@ def ranked_blocks(found: DataFrame) -> DataFrame:
         .withColumn("least", F.min("id").over(same_body))
         .withColumn("later", F.col("repeat") | (F.col("id") > F.col("least")))
         .where("later OR mixed")
-        .select("id", "place", "body", "later")
+        .select("id", "place", F.shiftright(F.shiftleft("body", 32), 32).cast("int").alias("check"), "later")
     )
 
 
@@ -106,17 +107,18 @@ def _true_blocks(text: bytes, listed: list[dict], length: int) -> tuple[np.ndarr
     for x in listed:
         start, n = x["place"] >> PLACE, x["place"] & (1 << PLACE) - 1
         end = start + n + length - 1
-        if end <= len(text) and xxhash.xxh3_64_intdigest(text[start:end]) == x["body"] % 2**64:
+        if end <= len(text) and xxhash.xxh3_64_intdigest(text[start:end]) & 0xFFFFFFFF == x["check"] & 0xFFFFFFFF:
             first.append(start)
             windows.append(n)
     return np.array(first, dtype=np.int64), np.array(windows, dtype=np.int64)
 
 
 def open_positions(docs: DataFrame, opened: DataFrame, length: int) -> DataFrame:
-    """(id, p, r, s): windows of open blocks with the names of their bytes at p and at p + offset."""
+    """(id, p, r, s): windows of open blocks with the pair of names of their bytes at p and at p + offset, packed
+    into 96 bits."""
     width, _ = first_length(length)
     offset = min(width, length - width)
-    listed = opened.groupBy("id").agg(F.collect_list(F.struct("place", "body")).alias("listed"))
+    listed = opened.groupBy("id").agg(F.collect_list(F.struct("place", "check")).alias("listed"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(rows, 256, SLICE):
@@ -126,33 +128,43 @@ def open_positions(docs: DataFrame, opened: DataFrame, length: int) -> DataFrame
                 if len(first):
                     p = np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
                     names = name_hashes(np.frombuffer(text, dtype=np.uint8), width)
-                    out.append((np.full(len(p), doc, dtype=np.int64), p, names[p], names[p + offset]))
+                    out.append((np.full(len(p), doc, dtype=np.int64), p, *packed_pair(names[p], names[p + offset])))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "p", "r", "s"])
 
-    return _joined(docs, listed, "inner").mapInArrow(run, "id long, p long, r long, s long")
+    return _joined(docs, listed, "inner").mapInArrow(run, "id long, p long, r long, s int")
+
+
+def packed_pair(r: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A pair of 64-bit names as 64 and 32 bits, all of them mixed from both."""
+    a, b = r.view(np.uint64) * np.uint64(MIX[5]), s.view(np.uint64) * np.uint64(MIX[6])
+    a ^= a >> np.uint64(31)
+    both = (a + b) * np.uint64(MIX[3])
+    both ^= both >> np.uint64(33)
+    other = (a ^ (b >> np.uint64(17))) * np.uint64(MIX[4])
+    return both.view(np.int64), (other >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def later_positions(positions: DataFrame, length: int) -> DataFrame:
-    """(id, p, name) of the windows that a smaller id has as well. ``positions`` holds rank pairs at the first
+    """(id, p, check) of the windows that a smaller id has as well. ``positions`` holds rank pairs at the first
     offset; every further round ranks the pairs that are not unique and pairs ranks at the next offset."""
     reach = first_length(length)[0] * 2
-    name = F.col("r").alias("name")
-    now = positions.withColumn("name", name)
+    rounds = reach < length
+    now = positions.withColumn("check", F.col("s")) if rounds else positions
     while reach < length:
         ranks = (
             now.groupBy("r", "s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             .repartitionByRange("r", "s").sortWithinPartitions("r", "s")
             .select("r", "s", F.monotonically_increasing_id().alias("rank"))
         )
-        ranked = cut(now.join(cut(ranks, "doubling-ranks"), ["r", "s"]).select("id", "p", "name", F.col("rank").alias("r")), "doubling-positions")
+        ranked = cut(now.join(cut(ranks, "doubling-ranks"), ["r", "s"]).select("id", "p", "check", F.col("rank").alias("r")), "doubling-positions")
         offset = min(reach, length - reach)
         ahead = ranked.select(F.col("id").alias("own"), (F.col("p") - offset).alias("at"), F.col("r").alias("s"))
-        now = ranked.join(ahead, (F.col("id") == F.col("own")) & (F.col("p") == F.col("at"))).select("id", "p", "name", "r", "s")
+        now = ranked.join(ahead, (F.col("id") == F.col("own")) & (F.col("p") == F.col("at"))).select("id", "p", "check", "r", "s")
         reach += offset
     least = F.min("id").over(Window.partitionBy("r", "s"))
-    return now.withColumn("least", least).where("id > least").select("id", "p", "name")
+    return now.withColumn("least", least).where("id > least").select("id", "p", F.col("check" if rounds else "s").alias("check"))
 
 
 def covered(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,12 +186,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = source.where("id IS NOT NULL")
     found = cut(ranked_blocks(text_blocks(known, length)), "doubling-blocks")
-    opened = found.where("NOT later").select("id", "place", "body")
+    opened = found.where("NOT later").select("id", "place", "check")
     windows = cut(later_positions(open_positions(known, opened, length), length), "doubling-windows")
-    whole = found.where("later").select("id", F.struct("place", "body").alias("block"), F.lit(None).cast("struct<p: long, name: long>").alias("window"))
-    single = windows.select("id", F.lit(None).cast("struct<place: long, body: long>").alias("block"), F.struct("p", "name").alias("window"))
+    whole = found.where("later").select("id", F.struct("place", "check").alias("block"), F.lit(None).cast("struct<p: long, check: int>").alias("window"))
+    single = windows.select("id", F.lit(None).cast("struct<place: long, check: int>").alias("block"), F.struct("p", "check").alias("window"))
     per_id = whole.unionByName(single).groupBy("id").agg(F.collect_list("block").alias("listed"), F.collect_list("window").alias("single"))
     id_type, width = dict(docs.select(id_col).dtypes)[id_col], first_length(length)[0]
+    offset = min(width, length - width)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(rows, 256, SLICE):
@@ -190,10 +203,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 first, windows = _true_blocks(text, listed or [], length)
                 lone = columns[2][row].values
                 if lone is not None and len(lone):
-                    p, named = lone.field("p").to_numpy(), lone.field("name").to_numpy()
+                    p, check = lone.field("p").to_numpy(), lone.field("check").to_numpy()
                     fits = p + length <= len(text)
-                    p, named = p[fits], named[fits]
-                    p = p[name_hashes(np.frombuffer(text, dtype=np.uint8), width)[p] == named]
+                    p, check = p[fits], check[fits]
+                    names = name_hashes(np.frombuffer(text, dtype=np.uint8), width)
+                    p = p[packed_pair(names[p], names[p + offset])[1] == check]
                     first, windows = np.r_[first, p], np.r_[windows, np.ones(len(p), np.int64)]
                 s, e = covered(first, first + windows + length - 1)
                 edges = np.r_[0, np.column_stack([s, e]).ravel(), len(text)].reshape(-1, 2)
