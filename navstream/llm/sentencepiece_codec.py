@@ -44,11 +44,20 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BPE = 1, 2
 #: Words remembered by a Python worker at most; beyond that it forgets all and goes on.
 MEMORY = 500_000
-PAIRS = 1_500_000
+PAIRS = 400_000
 #: Fixed value: what an unknown character costs below the lowest piece score in unigram models.
 UNKNOWN_PENALTY = 10.0
 
 
+#: What stands before the first piece of a path.
+START = -1
+
+
+def lone(char: str) -> int:
+    """Token of a character without a piece."""
+    return -2 - ord(char)
+
+
 def runs_of(others: str) -> re.Pattern:
     """Escaped spaces and a run of letters, or of other characters; ``others`` are letters that count as such."""
     x = re.escape(others)
@@ -59,7 +68,7 @@ class Codec:
     """A model file, its automaton and what the worker remembers."""
 
     def __init__(self, path: str | None = None, proto: bytes | None = None):
-        self.traces: dict[object, list] = {}
+        self.traces: dict[int, list | None] = {}
         model = spec.ModelProto()
         if proto is None:
             with open(path, "rb") as f:
@@ -95,7 +104,7 @@ class Codec:
         self.surface_start = np.cumsum(self.surface_size) - self.surface_size
         self.lowest = min((self.scores[i] for i in self.ids.values()), default=0.0)
         self.dummy = n.add_dummy_prefix
-        self.admissible: dict[tuple, bool] = {}
+        self.admissible: dict[int, bool] = {}
         self.seen: dict[str, bytes] = {}
 
     # -- text in and out -------------------------------------------------------------------------
@@ -161,14 +170,14 @@ class Codec:
         out, ends = ragged_take(np.frombuffer(b"".join(ids), dtype=np.int32), starts, lengths, coded.indices.to_numpy())
         return out, ends[np.r_[0, np.cumsum(sizes)].astype(np.int64)]
 
-    def with_bytes(self, tokens: list[int | str]) -> list[int]:
-        """Ids of a path; characters without a piece fall back to their bytes."""
+    def with_bytes(self, tokens: list[int]) -> list[int]:
+        """Ids of a path; characters without a piece (see ``lone``) fall back to their bytes."""
         out: list[int] = []
         for t in tokens:
-            if isinstance(t, int):
+            if t >= 0:
                 out.append(t)
             elif self.bytes:
-                out += [self.bytes[b] for b in t.encode("utf-8", "surrogatepass")]
+                out += [self.bytes[b] for b in chr(-2 - t).encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
         return out
@@ -186,7 +195,7 @@ class Codec:
 
     # -- unigram: best sum of scores ----------------------------------------------------------------
 
-    def viterbi(self, word: str) -> list[int | str]:
+    def viterbi(self, word: str) -> list[int]:
         n = len(word)
         best, back = [0.0] + [float("-inf")] * n, [None] * (n + 1)
         scores, ids, cost = self.scores, self.ids, self.lowest - UNKNOWN_PENALTY
@@ -195,7 +204,7 @@ class Codec:
         def settle(upto: int) -> None:
             for q in range(done + 1, upto + 1):
                 if word[q - 1] not in ids and best[q - 1] + cost > best[q]:
-                    best[q], back[q] = best[q - 1] + cost, (q - 1, word[q - 1])
+                    best[q], back[q] = best[q - 1] + cost, (q - 1, lone(word[q - 1]))
 
         for end, (piece, size) in self.automaton.iter(word):
             if end > done:
@@ -214,11 +223,11 @@ class Codec:
 
     # -- BPE: the one admissible path ---------------------------------------------------------------
 
-    def merge_path(self, word: str) -> list[int | str]:
+    def merge_path(self, word: str) -> list[int]:
         n = len(word)
         last: list = [None] * (n + 1)
         back = [0] * (n + 1)
-        last[0] = ""  # before the first piece
+        last[0] = START
         known = self.admissible.get
         for end, (piece, size) in self.automaton.iter(word):
             if last[end + 1] is not None:
@@ -227,7 +236,7 @@ class Codec:
             before = last[start]
             if before is None:
                 before = self._single(word, last, back, start)
-            pair = (before, piece)
+            pair = before << 24 | piece
             fits = known(pair)
             if fits is None:
                 fits = self.admissible[pair] = self.follows(before, piece)
@@ -243,20 +252,20 @@ class Codec:
         return out[::-1]
 
     @staticmethod
-    def _single(word: str, last: list, back: list, at: int) -> str:
+    def _single(word: str, last: list, back: list, at: int) -> int:
         """Positions no piece reached end in a character without a piece."""
         first = at
         while last[first - 1] is None:
             first -= 1
         for q in range(first, at + 1):
-            last[q], back[q] = word[q - 1], q - 1
+            last[q], back[q] = lone(word[q - 1]), q - 1
         return last[at]
 
-    def trace(self, token: int | str) -> list[tuple[float, str, str]]:
+    def trace(self, token: int) -> list[tuple[float, str, str]] | None:
         """The merges of one token's string in order: (score, first symbol, last symbol) after each, the
         untouched characters first. None if the string does not end as one symbol."""
         if token not in self.traces:
-            symbols = list(self.pieces[token] if isinstance(token, int) else token)
+            symbols = list(self.pieces[token] if token >= 0 else chr(-2 - token))
             steps = [(0.0, symbols[0], symbols[-1])]
             while len(symbols) > 1:
                 best = max(
@@ -271,11 +280,11 @@ class Codec:
             self.traces[token] = steps if len(symbols) == 1 else None
         return self.traces[token]
 
-    def follows(self, before: int | str, piece: int) -> bool:
+    def follows(self, before: int, piece: int) -> bool:
         """True if merging the strings of both side by side never joins them: at no moment does a merge across the
         border beat the next merge inside either (leftmost wins a tie)."""
         right = self.trace(piece)
-        if before == "":
+        if before == START:
             return right is not None
         left = self.trace(before)
         if left is None or right is None:

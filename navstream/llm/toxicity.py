@@ -106,7 +106,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     take = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_003)) < F.lit(int(1_000_003 * min(1.0, MAX_TRAIN / max(1, total))))
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .join(known.where(take), F.col("doc_id") == F.col("id"))
+        .join(F.broadcast(known.where(take)), F.col("doc_id") == F.col("id"))  # about MAX_TRAIN short rows at most
         .select("text", (F.col("y") >= 0.5).cast("int").alias("y"), F.pmod(F.xxhash64("id", F.lit(12)), F.lit(5)).cast("int").alias("part"))
     )
 
