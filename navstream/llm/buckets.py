@@ -22,15 +22,21 @@ SMALL = 48
 
 
 def block_pairs(keyed: DataFrame, row_id: str, payload: DataFrame | None = None) -> DataFrame:
-    """``keyed`` (key, row id, ...) without single rows, with (lo, hi, own): the pair of blocks a row is
-    compared in, and its own block; sorted so that groups are contiguous in a task. ``payload`` (row id, ...)
-    is joined once single rows are gone."""
-    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    """``keyed`` (key, row id, ...) with (lo, hi, own): the pair of blocks a row is compared in, and its own
+    block; sorted so that groups are contiguous in a task.
+
+    Only buckets above BLOCK rows need more than one block, so the counts joined back are those of large buckets. With
+    a ``payload`` (row id, ...) to carry, rows alone in their bucket are left out before it is joined.
+    """
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    if payload is None:
+        counted = keyed.join(counts.where(F.col("n") > BLOCK), "key", "left")
+    else:
+        counted = keyed.join(counts.where("n > 1"), "key")
+    blocks = F.ceil(F.coalesce("n", F.lit(1)) / BLOCK).cast("int")
     own = F.pmod(F.xxhash64(row_id), F.col("blocks")).cast("int")
     spread = (
-        keyed.join(counts, "key")
-        .withColumn("blocks", blocks)
+        counted.withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
