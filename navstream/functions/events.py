@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from navstream.settings import LABEL_SEPARATOR
+from navstream.settings import EVENT_SECONDS, LABEL_SEPARATOR
 
 
 def _c(col: Column | str) -> Column:
@@ -43,8 +43,9 @@ def ingested_at() -> Column:
 
 
 def event_time_from_epoch(col: Column | str = "timestamp") -> Column:
-    """Epoch seconds -> TIMESTAMP; NULL stays NULL."""
-    return F.timestamp_seconds(_c(col))
+    """Epoch seconds -> TIMESTAMP; NULL and seconds outside EVENT_SECONDS give NULL."""
+    seconds = _c(col)
+    return F.when(seconds.between(*EVENT_SECONDS), F.timestamp_seconds(seconds))
 
 
 def size_delta(new: Column | str = "length.new", old: Column | str = "length.old") -> Column:

@@ -108,7 +108,7 @@ def _first_of_month(col: str) -> F.Column:
 
 
 def month_coverage(
-    df: DataFrame, expected_months: Iterable[str] = (), spark: SparkSession | None = None
+    df: DataFrame, expected_months: Iterable[str] = ()
 ) -> DataFrame:
     """Per month of the calendar span of ``df`` (plus ``expected_months``): rows loaded and a flag.
 
@@ -118,24 +118,21 @@ def month_coverage(
     """
     valid = df.filter(F.col("month").rlike(MONTH_PATTERN) & _first_of_month("month").isNotNull())
     counts = valid.groupBy("month").agg(F.count(F.lit(1)).alias("rows"))
-    span = counts.agg(F.min("month").alias("lo"), F.max("month").alias("hi")).select(
-        F.explode(
-            F.sequence(_first_of_month("lo"), _first_of_month("hi"), F.expr("INTERVAL 1 MONTH"))
-        ).alias("d")
+    # One row holds every month's count (bounded by the calendar), so the input is scanned once.
+    whole = counts.agg(
+        F.min("month").alias("lo"),
+        F.max("month").alias("hi"),
+        F.map_from_entries(F.collect_list(F.struct("month", "rows"))).alias("counts"),
     )
-    calendar = span.select(F.date_format("d", "yyyy-MM").alias("month"))
-    expected = list(expected_months)
-    if expected:
-        spark = spark or df.sparkSession
-        calendar = calendar.unionByName(spark.createDataFrame([(m,) for m in expected], "month string"))
-    calendar = calendar.distinct()
-    return (
-        calendar.join(counts, "month", "left")
-        .select(
-            "month",
-            F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"),
-            F.col("rows").isNotNull().alias("loaded"),
-        )
+    span = F.transform(
+        F.sequence(_first_of_month("lo"), _first_of_month("hi"), F.expr("INTERVAL 1 MONTH")),
+        lambda d: F.date_format(d, "yyyy-MM"),
+    )
+    expected = F.array(*[F.lit(m) for m in expected_months]).cast("array<string>")
+    months = F.array_union(F.coalesce(span, F.array().cast("array<string>")), expected)
+    rows = F.try_element_at("counts", F.col("month"))
+    return whole.select("counts", F.explode(months).alias("month")).select(
+        "month", F.coalesce(rows, F.lit(0)).cast("bigint").alias("rows"), rows.isNotNull().alias("loaded")
     )
 
 

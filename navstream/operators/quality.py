@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navstream.functions import contract
-from navstream.settings import REASON_CODES
+from navstream.settings import MONTH_PATTERN, REASON_CODES
 
 FLAG_COLUMNS = {code: f"_viol_{code}" for code in REASON_CODES}
 ANY_VIOLATION = "_any_violation"
 REASON = "_reason"
+#: The month as delivered, next to the partition key.
+RAW_MONTH = "raw_month"
 
 
 class ContractSplit(NamedTuple):
@@ -25,6 +27,11 @@ class ContractSplit(NamedTuple):
     quarantine: DataFrame
 
 
+def month_key(col: str = "month") -> F.Column:
+    """The month if it looks like one, else ''. Partition folders and month sets are bounded by this."""
+    return F.when(F.col(col).rlike(MONTH_PATTERN), F.col(col)).otherwise(F.lit(""))
+
+
 def with_contract_flags(df: DataFrame) -> DataFrame:
     """Adds one flag per rule, ``_any_violation`` and the pipe-joined ``_reason``."""
     rules = contract.rule_columns()
@@ -56,12 +63,8 @@ def reason_counts(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("month", REASON).agg(F.count(F.lit(1)).alias("count"))
 
 
-def quarantine_summary(quarantine: DataFrame, month: str | None = None, limit: int = 50) -> DataFrame:
-    """Reason breakdown (month ascending, count descending, reason ascending), first ``limit`` rows."""
+def quarantine_summary(quarantine: DataFrame, month: str | None = None) -> DataFrame:
+    """Reason breakdown of every month (month ascending, count descending, reason ascending)."""
     if month:
         quarantine = quarantine.filter(F.col("month") == month)
-    return (
-        reason_counts(quarantine)
-        .orderBy(F.asc_nulls_first("month"), F.desc("count"), F.asc(REASON))
-        .limit(limit)
-    )
+    return reason_counts(quarantine).orderBy(F.asc_nulls_first("month"), F.desc("count"), F.asc(REASON))

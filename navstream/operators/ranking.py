@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Tasks that rank one group in the first step.
+RANK_BUCKETS = 16
+
+
 def _ordering(measures: Sequence[str], tie_break: Sequence[str]) -> list[Column]:
     return [F.desc_nulls_last(m) for m in measures] + [F.asc_nulls_last(k) for k in tie_break]
 
@@ -27,11 +31,17 @@ def top_n_per_group(
 ) -> DataFrame:
     """The ``n`` rows with the largest ``measures`` inside each ``group_by`` group.
 
-    Written as ``row_number() <= n`` so Catalyst plans a partial ``WindowGroupLimit`` before the
-    shuffle: each map task forwards at most ``n`` rows per group, so a group that holds a third of
-    the data costs no more shuffle than a small one.
+    In two steps for every ``n``: the top ``n`` of each (group, bucket of the tie-break key), then the top ``n`` of
+    the buckets' winners. A group that holds a third of the data is ranked in RANK_BUCKETS tasks, and its last
+    step sees at most RANK_BUCKETS * n rows, whatever Spark's own limit for partial ranking is. Where ``n`` is
+    below that limit, a ``WindowGroupLimit`` cuts the rows before each shuffle as well.
     """
-    window = Window.partitionBy(*group_by).orderBy(*_ordering(measures, tie_break))
+    order = _ordering(measures, tie_break)
+    bucket = F.pmod(F.xxhash64(*tie_break), F.lit(RANK_BUCKETS))
+    in_bucket = Window.partitionBy(*group_by, "_bucket").orderBy(*order)
+    df = df.withColumn("_bucket", bucket).withColumn(rank_col, F.row_number().over(in_bucket))
+    df = df.filter(F.col(rank_col) <= n).drop(rank_col, "_bucket")
+    window = Window.partitionBy(*group_by).orderBy(*order)
     ranked = df.withColumn(rank_col, F.row_number().over(window)).filter(F.col(rank_col) <= n)
     return ranked if keep_rank else ranked.drop(rank_col)
 

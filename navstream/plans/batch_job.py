@@ -7,11 +7,11 @@ Data passes over the raw input once:
 2. quarantine = copy of ``status=quarantine`` folders of this run (rare rows);
 3. ``monthly_trend`` = sum by (month, curr) over the clean folders of this run; the in-degree
    board is ranked from that written mart, not recomputed from silver;
-4. link-pair sums are checkpointed once (reliable, in the shared checkpoint folder) and feed both
-   the pair board and the out-degree board (sum + exact distinct targets).
+4. link-pair sums are written once as the month-partitioned table ``link_pairs``; the pair board and the
+   out-degree board (sum + exact distinct targets) are ranked from it.
 
-All mart writes replace only the months of this run (dynamic overwrite), and partitions this run
-emptied are removed, so re-running a month is idempotent.
+All writes replace only the months of this run (dynamic overwrite), and partitions this run emptied (months
+without clean rows, months without links) are removed from every mart, so re-running a month is idempotent.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from navstream.operators import clickstream as C
-from navstream.operators.quality import ANY_VIOLATION, REASON, with_contract_flags
+from navstream.operators.quality import ANY_VIOLATION, RAW_MONTH, REASON, month_key, with_contract_flags
 from navstream.operators.ranking import top_k
 from navstream.plans.quality_job import QUARANTINE_SORT
 from navstream.schemas import CHECKED_SCHEMA, CLICKSTREAM_SCHEMA, MART_SCHEMAS
-from navstream.session import build_session, checkpoint_root
+from navstream.session import build_session
 from navstream.settings import BatchSettings
 from navstream.sinks.tables import drop_partitions, preview, write_partitioned
 from navstream.sources.clickstream import read_clickstream
@@ -35,6 +35,7 @@ from navstream.sources.tables import read_table
 
 STATUS = "status"
 CHECKED = "clickstream_checked"
+LINK_PAIRS = "link_pairs"
 
 
 @dataclass
@@ -53,32 +54,36 @@ def _out(settings: BatchSettings, name: str) -> str:
     return f"{settings.output_dir.rstrip('/')}/{name}"
 
 
-def write_checked(raw: DataFrame, path: str) -> Observation:
+def write_checked(raw: DataFrame, path: str, by_month: bool = False) -> Observation:
     """Flags every row and writes clean and quarantined rows in one pass.
 
-    The same pass observes the row counts and the sets of months seen with clean and with
-    quarantined rows; these sets are bounded by the calendar, not by the data.
+    The same pass observes the row counts and the sets of months seen with clean rows, with clean links and
+    with quarantined rows. Values that are no month share the key '' (their text stays in ``raw_month``), so
+    these sets and the folders are bounded by the month pattern, not by the data. ``by_month`` says that each
+    scan task holds one month.
     """
     observation = Observation("contract")
     flagged = with_contract_flags(raw)
     is_bad = F.col(ANY_VIOLATION)
-    month = F.coalesce(F.col("month"), F.lit(""))
-    checked = flagged.observe(
+    month, is_link = F.col("month"), F.col("type") == "link"
+    checked = flagged.withColumns({RAW_MONTH: month, "month": month_key()}).observe(
         observation,
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(is_bad).alias("quarantined_rows"),
         F.collect_set(month).alias("months"),
         F.collect_set(F.when(~is_bad, month)).alias("clean_months"),
+        F.collect_set(F.when(~is_bad & is_link, month)).alias("link_months"),
         F.collect_set(F.when(is_bad, month)).alias("bad_months"),
     ).select(
         *CLICKSTREAM_SCHEMA.fieldNames(),
         REASON,
+        RAW_MONTH,
         F.when(is_bad, F.lit("quarantine")).otherwise(F.lit("clean")).alias(STATUS),
         "month",
     )
-    # No shuffle: a scan task holds one input file (one month), so it writes into its own folders;
-    # the local sort clusters row groups by target title.
-    write_partitioned(checked, path, partition_by=(STATUS, "month"), sort_by=("curr",), shuffle=False)
+    # No shuffle where a scan task holds one input file (one month) and writes into its own folders only;
+    # other inputs are rebalanced by folder. The local sort clusters row groups by target title.
+    write_partitioned(checked, path, partition_by=(STATUS, "month"), sort_by=("curr",), shuffle=False, rebalance=not by_month)
     return observation
 
 
@@ -89,25 +94,31 @@ def _month_filter(months: list[str]) -> F.Column:
 
 
 def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), raw: DataFrame | None = None) -> BatchReport:
+    by_month = raw is None and not settings.scan_partitions
     if raw is None:
         raw = read_clickstream(spark, settings.raw_glob, settings.month_from_path_pattern, settings.scan_partitions)
     report = BatchReport()
     checked_path = _out(settings, CHECKED)
 
-    metrics = write_checked(raw, checked_path).get
+    metrics = write_checked(raw, checked_path, by_month).get
     report.raw_rows, report.quarantined_rows = int(metrics["raw_rows"]), int(metrics["quarantined_rows"])
     months = sorted(metrics["months"])
     report.months = [m for m in months if m]
     no_clean = sorted(set(months) - set(metrics["clean_months"]))
+    no_links = sorted(set(months) - set(metrics["link_months"]))
     no_bad = sorted(set(months) - set(metrics["bad_months"]))
     # A dynamic overwrite cannot empty a partition: remove folders this run left without rows.
     drop_partitions(spark, f"{checked_path}/{STATUS}=clean", "month", no_clean)
     drop_partitions(spark, f"{checked_path}/{STATUS}=quarantine", "month", no_bad)
+    for mart in ("monthly_trend", "top_articles_indegree"):
+        drop_partitions(spark, _out(settings, mart), "month", no_clean)
+    for mart in (LINK_PAIRS, "top_link_pairs", "top_articles_outdegree"):
+        drop_partitions(spark, _out(settings, mart), "month", no_links)
     report.written.append(checked_path)
 
     this_run = read_table(spark, checked_path, CHECKED_SCHEMA).filter(_month_filter(months))
     clean = this_run.filter(F.col(STATUS) == "clean").select(*CLICKSTREAM_SCHEMA.fieldNames(), "month")
-    bad = this_run.filter(F.col(STATUS) == "quarantine").select(*CLICKSTREAM_SCHEMA.fieldNames(), REASON, "month")
+    bad = this_run.filter(F.col(STATUS) == "quarantine").select(*CLICKSTREAM_SCHEMA.fieldNames(), REASON, RAW_MONTH, "month")
 
     write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT)
     drop_partitions(spark, settings.quarantine_dir, "month", no_bad)
@@ -117,19 +128,20 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
     trend = read_table(spark, trend_path, MART_SCHEMAS["monthly_trend"]).filter(_month_filter(months))
     indegree_path = _out(settings, "top_articles_indegree")
-    # Top-N marts hold at most n rows per month: one writer task, no range sampling.
-    write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), num_partitions=1)
-
-    # The pair aggregate feeds two marts: compute it once and cut its lineage in the shared
-    # checkpoint folder, so a lost executor does not force the scan and shuffle to rerun.
-    checkpoint_root(spark)
-    pairs = C.link_pairs(clean).checkpoint(eager=True)
+    # Top-N marts hold at most n rows per month: AQE joins their folders into few tasks, and nothing is sampled.
+    write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), rebalance=True)
+
+    # The pair aggregate feeds two marts: it is written once, compressed and pruned by month, and a lost
+    # executor costs a re-read of it, not the scan and the shuffle.
+    links_path = _out(settings, LINK_PAIRS)
+    write_partitioned(C.link_pairs(clean), links_path, sort_by=("prev", "curr"), rebalance=True)
+    pairs = read_table(spark, links_path, MART_SCHEMAS[LINK_PAIRS]).filter(_month_filter(months))
     pairs_path, outdegree_path = _out(settings, "top_link_pairs"), _out(settings, "top_articles_outdegree")
     top_pairs = C.top_link_pairs(clean, settings.top_n, pairs=pairs)
-    write_partitioned(top_pairs, pairs_path, sort_by=("prev", "curr"), num_partitions=1)
+    write_partitioned(top_pairs, pairs_path, sort_by=("prev", "curr"), rebalance=True)
     top_out = C.top_articles_by_outdegree(clean, settings.top_n, pairs=pairs)
-    write_partitioned(top_out, outdegree_path, sort_by=("prev",), num_partitions=1)
-    report.written += [trend_path, indegree_path, pairs_path, outdegree_path]
+    write_partitioned(top_out, outdegree_path, sort_by=("prev",), rebalance=True)
+    report.written += [trend_path, indegree_path, links_path, pairs_path, outdegree_path]
     return report
 
 

@@ -153,6 +153,34 @@ SELECT * FROM ({select}) AS w
 WHERE w.window_start + INTERVAL '{width}' <= (SELECT max(event_time) FROM silver) - INTERVAL '5 minutes'"""
 
 
+# What the second delivery of the re-run leaves clean.
+RERUN = f"""WITH {CLICKSTREAM},
+again AS (
+  SELECT prev, curr, CASE WHEN month = '1996-07' THEN 'external' ELSE type END AS type,
+         CASE WHEN month = '1995-03' THEN -n ELSE n END AS n, month
+  FROM clickstream
+),{_flagged('again')},
+clean AS (SELECT prev, curr, type, n, month FROM checked WHERE NOT bad)"""
+
+# Clean edges in which the excluded titles are the most clicked targets.
+SPECIAL = f"""WITH {CLICKSTREAM},{_flagged('clickstream')},
+clean AS (
+  SELECT prev, CASE CAST(curr AS BIGINT) % 50 WHEN 0 THEN 'Main_Page' WHEN 1 THEN 'Hyphen-minus' ELSE curr END AS curr,
+         type, n, month
+  FROM checked WHERE NOT bad)"""
+
+DUMPS = """
+dumps AS (
+  SELECT CASE WHEN l_orderkey % 47 = 0 THEN '"' || CAST(l_suppkey AS VARCHAR)
+              WHEN l_orderkey % 43 = 0 THEN '"' || CAST(l_suppkey AS VARCHAR) || '"'
+              ELSE CAST(l_suppkey AS VARCHAR) END AS prev,
+         CAST(l_partkey AS VARCHAR) AS curr,
+         CASE l_returnflag WHEN 'A' THEN 'link' WHEN 'N' THEN 'external' ELSE 'other' END AS type,
+         CASE WHEN l_orderkey % 53 <> 0 THEN CAST(l_quantity AS BIGINT) END AS n,
+         substr(CAST(l_shipdate AS VARCHAR), 1, 7) AS month
+  FROM lineitem
+)"""
+
 ORACLE: dict[str, str] = {
     "top_articles_indegree": f"{CLEAN},{INDEGREE}\nSELECT * FROM indegree",
     "top_articles_outdegree": f"{CLEAN},{OUTDEGREE}\nSELECT * FROM outdegree",
@@ -184,8 +212,7 @@ FROM checked""",
     "dq_reason_counts": f'{DQ}\nSELECT month, _reason, count(*) AS "count" FROM checked WHERE bad GROUP BY month, _reason',
     "dq_summary": f"""{DQ}
 SELECT month, _reason, count(*) AS "count" FROM checked WHERE bad GROUP BY month, _reason
-ORDER BY month ASC NULLS FIRST, "count" DESC, _reason ASC
-LIMIT 50""",
+ORDER BY month ASC NULLS FIRST, "count" DESC, _reason ASC""",
     "dash_top_in": f"""{CLEAN},{INDEGREE}
 SELECT month, curr, total_clicks FROM indegree
 WHERE month = (SELECT max(month) FROM indegree) AND coalesce(curr NOT IN ('Main_Page', 'Hyphen-minus'), true)
@@ -241,6 +268,46 @@ ORDER BY edit_count DESC, "user" ASC NULLS LAST, wiki ASC NULLS LAST LIMIT 15"""
     "job_monthly_trend": f"{DIRTY_CLEAN},{TREND}\nSELECT * FROM trend",
     "job_quarantine_reasons": f"""{DQ}
 SELECT nullif(month, '') AS month, _reason, count(*) AS "count" FROM checked WHERE bad GROUP BY ALL""",
+    "rerun_monthly_trend": f"{RERUN},{TREND}\nSELECT * FROM trend",
+    "rerun_boards": f"""{RERUN},{INDEGREE},{OUTDEGREE},{PAIRS}
+SELECT 'in' AS board, month, NULL::VARCHAR AS prev, curr, total_clicks AS clicks FROM indegree
+UNION ALL SELECT 'out', month, prev, NULL, total_clicks_sent FROM outdegree
+UNION ALL SELECT 'pair', month, prev, curr, total_clicks FROM pairs""",
+    "quarantine_step": f"{DQ}\nSELECT nullif(month, '') AS month, prev, curr, type, n, _reason FROM checked WHERE bad",
+    "serve_top_in": f"""{SPECIAL},{INDEGREE}
+SELECT month, curr, total_clicks FROM indegree
+WHERE month = (SELECT max(month) FROM indegree) AND curr NOT IN ('Main_Page', 'Hyphen-minus')
+ORDER BY total_clicks DESC, curr LIMIT 20""",
+    "serve_top_in_month": f"""{SPECIAL},{INDEGREE}
+SELECT month, curr, total_clicks FROM indegree
+WHERE month = '1995-03' AND curr NOT IN ('Main_Page', 'Hyphen-minus')
+ORDER BY total_clicks DESC, curr LIMIT 20""",
+    "serve_month_picker": f"{SPECIAL},{INDEGREE}\nSELECT DISTINCT month FROM indegree ORDER BY month DESC",
+    "serve_top_out_month": f"""{SPECIAL},{OUTDEGREE}
+SELECT month, prev, total_clicks_sent, unique_targets FROM outdegree WHERE month = '1995-03'
+ORDER BY total_clicks_sent DESC, prev LIMIT 20""",
+    "serve_top_pairs_month": f"""{SPECIAL},{PAIRS}
+SELECT month, prev, curr, total_clicks, prev || '  →  ' || curr AS link FROM pairs WHERE month = '1995-03'
+ORDER BY total_clicks DESC, prev, curr LIMIT 20""",
+    "serve_trend_top10": f"""{SPECIAL},{TREND},
+leaders AS (
+  SELECT curr FROM trend WHERE curr NOT IN ('Main_Page', 'Hyphen-minus')
+  GROUP BY curr ORDER BY sum(monthly_clicks) DESC, curr LIMIT 10)
+SELECT month, curr, monthly_clicks FROM trend WHERE curr IN (SELECT curr FROM leaders) ORDER BY month, curr""",
+    "serve_top_editors": f"""WITH {EDITS},
+editors AS ({_editors('edits', 1440, 720)})
+SELECT * FROM editors WHERE window_start = (SELECT max(window_start) FROM editors)
+ORDER BY edit_count DESC, "user" ASC NULLS LAST, wiki ASC NULLS LAST LIMIT 15""",
+    "tsv_scan": f"WITH {DUMPS}\nSELECT * FROM dumps",
+    "tsv_missing_months": f"""WITH {DUMPS}
+SELECT month FROM (SELECT unnest(['2024-10', '2024-11', '2024-12', '2025-01', '2025-02', '2025-03', '1992-01', '1995-03']) AS month)
+WHERE month NOT IN (SELECT month FROM dumps)""",
+    "edit_silver_dirty": f"""WITH {SILVER}
+SELECT {SILVER_COLUMNS} FROM silver
+WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0""",
+    "edits_only_wiki": f"WITH {SILVER}\nSELECT {SILVER_COLUMNS} FROM silver WHERE wiki = 'enwiki'",
+    "edits_dedup_stream_slices": f"WITH {SILVER}\nSELECT {SILVER_COLUMNS} FROM silver",
+    "edits_per_wiki_stream_slices": f"WITH {SILVER}{_closed(_rate('silver', '1 hour'), '1 hour')}",
     "job_status_counts": f"""{DQ}
 SELECT CASE WHEN bad THEN 'quarantine' ELSE 'clean' END AS status, count(*) AS rows FROM checked GROUP BY ALL""",
 }

@@ -25,7 +25,7 @@ def start_streaming(
     settings: StreamSettings = StreamSettings(),
     records: DataFrame | None = None,
     available_now: bool = False,
-    silver_first: bool = False,
+    silver_first: bool = True,
     console: bool = True,
 ) -> dict[str, StreamingQuery]:
     """Starts every query of the streaming layer and returns them by name.
@@ -36,7 +36,7 @@ def start_streaming(
     records = records if records is not None else read_topic_stream(spark, settings.kafka)
     layout = StreamLayout(settings.output_dir, settings.checkpoint_dir)
     if silver_first:
-        return start_silver_first(spark, records, layout, settings, available_now)
+        return start_silver_first(spark, records, layout, settings, available_now, console)
     return start_marts(silver_edits(records, settings), layout, settings, available_now, console)
 
 
@@ -46,17 +46,22 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=KafkaSettings.topic)
     parser.add_argument("--output-dir", default=StreamSettings.output_dir)
     parser.add_argument("--checkpoint-dir", default=StreamSettings.checkpoint_dir)
-    parser.add_argument("--silver-first", action="store_true")
-    parser.add_argument("--rocksdb", action="store_true", help="keep streaming state in RocksDB")
+    parser.add_argument("--direct", action="store_true", help="every mart reads the topic itself (no silver stream)")
+    parser.add_argument("--heap-state", action="store_true", help="keep streaming state in the JVM heap, not RocksDB")
+    parser.add_argument("--wiki", default=StreamSettings.wiki_filter, help="keep one wiki (default: all)")
+    parser.add_argument("--max-offsets-per-trigger", type=int, default=KafkaSettings.max_offsets_per_trigger)
     args = parser.parse_args(argv)
     settings = StreamSettings(
         output_dir=args.output_dir,
         checkpoint_dir=args.checkpoint_dir,
-        rocksdb_state=args.rocksdb,
-        kafka=KafkaSettings(bootstrap_servers=args.bootstrap_servers, topic=args.topic),
+        rocksdb_state=not args.heap_state,
+        wiki_filter=args.wiki,
+        kafka=KafkaSettings(
+            bootstrap_servers=args.bootstrap_servers, topic=args.topic, max_offsets_per_trigger=args.max_offsets_per_trigger
+        ),
     )
     spark = build_session("navstream-streaming", extra=session_conf(settings))
-    queries = start_streaming(spark, settings, silver_first=args.silver_first)
+    queries = start_streaming(spark, settings, silver_first=not args.direct)
     await_any(spark, queries)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Field names and types below are fixed values: they are set by the input and output formats.
+
 # Header-less, tab-separated navigation dump: one row per (referrer, target, link type) in a month.
 # File sources relax nullability, so the contract in operators.quality is what enforces it.
 CLICKSTREAM_SCHEMA = T.StructType(
@@ -21,7 +23,11 @@ CLICKSTREAM_WITH_MONTH_SCHEMA = T.StructType(
 
 QUARANTINE_SCHEMA = T.StructType(
     CLICKSTREAM_SCHEMA.fields
-    + [T.StructField("_reason", T.StringType(), True), T.StructField("month", T.StringType(), True)]
+    + [
+        T.StructField("_reason", T.StringType(), True),
+        T.StructField("raw_month", T.StringType(), True),
+        T.StructField("month", T.StringType(), True),
+    ]
 )
 
 # Every raw row after the contract, partitioned by (status, month).
@@ -29,6 +35,7 @@ CHECKED_SCHEMA = T.StructType(
     CLICKSTREAM_SCHEMA.fields
     + [
         T.StructField("_reason", T.StringType(), True),
+        T.StructField("raw_month", T.StringType(), True),
         T.StructField("status", T.StringType(), True),
         T.StructField("month", T.StringType(), True),
     ]
@@ -121,3 +128,5 @@ MART_SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 MART_SCHEMAS["quarantine"] = QUARANTINE_SCHEMA
+# Link-pair sums of every month: the boards over pairs and referrers are ranked from it.
+MART_SCHEMAS["link_pairs"] = MART_SCHEMAS["top_link_pairs"]

@@ -1,13 +1,11 @@
 """Session construction and the shared scratch folder.
 
 Library code never invents machine-local paths on a cluster: intermediate tables and streaming
-checkpoints go below the folder the cluster names in ``spark.checkpoint.dir``. Only a local-mode
-session without that setting (unit tests) gets a private temporary folder.
+checkpoints go below the folder the cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,10 +46,8 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` (set on the context or in the conf).
-
-    Falls back to a private temporary folder only for local-mode sessions that name none.
-    """
+    """The shared folder named by ``spark.checkpoint.dir`` (set on the context or in the conf), or, where a session
+    names none, a folder below the warehouse, which a cluster shares as well."""
     root = None
     try:
         root = spark.sparkContext.getCheckpointDir()
@@ -60,13 +56,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder on shared storage for checkpoints"
-            )
-        root = tempfile.mkdtemp(prefix="navstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_navstream_scratch"
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)
@@ -78,3 +68,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/navstream/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one run of a named job; the folder of this session's run before it is deleted, so
+    scratch does not pile up. What an earlier run returned is read from its folder: finish with it first."""
+    key = (spark.sparkContext.applicationId, name)
+    old = _RUNS.pop(key, None)
+    if old:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _RUNS[key] = scratch_path(spark, name)
+    return _RUNS[key]

@@ -15,6 +15,9 @@ MONTH_FROM_PATH_PATTERN = r"(\d{4}-\d{2})\.tsv\.gz$"
 EXCLUDED_ARTICLES = ("Main_Page", "Hyphen-minus")
 LABEL_SEPARATOR = "  →  "
 REASON_SEPARATOR = "|"
+# Epoch seconds an edit may carry (1970 to 2100): beyond it lie millisecond stamps and overflows, which would
+# move the watermark by millennia or stop the query.
+EVENT_SECONDS = (0, 4_102_444_800)
 # Contract rule codes, in the order they appear in a quarantine reason string.
 REASON_CODES = ("null_prev", "null_curr", "bad_type", "neg_n", "bad_month")
 
@@ -62,10 +65,11 @@ class StreamSettings:
     trigger_seconds: int = 30
     output_dir: str = "data/streaming_output"
     checkpoint_dir: str = "data/streaming_checkpoint"
-    wiki_filter: str | None = "enwiki"
+    # One wiki for the whole layer (the same meaning as ``publishable(wiki=...)``); None keeps all.
+    wiki_filter: str | None = None
     console_rows: int = 10
     # Keep dedup/window state in RocksDB (off-heap, spills to local disk) instead of the JVM heap.
-    rocksdb_state: bool = False
+    rocksdb_state: bool = True
     kafka: KafkaSettings = field(default_factory=KafkaSettings)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,18 +22,20 @@ def _field(events: DataFrame, name: str) -> F.Column:
     return F.col(name) if top in events.columns else F.lit(None)
 
 
-def to_bus_records(events: DataFrame) -> DataFrame:
+def to_bus_records(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``key, value``: the event identity and the event as JSON (NULL fields omitted).
 
-    Payload fields the key needs but the frame lacks count as missing ('' in the key).
+    Payload fields the key needs but the frame lacks count as missing ('' in the key). ``carry`` columns stay
+    beside the record and out of its JSON.
     """
     key = message_key(
         _field(events, "wiki"), _field(events, "revision.new"), _field(events, "timestamp"), _field(events, "title")
     )
-    return events.select(key.alias("key"), F.to_json(F.struct(*events.columns)).alias("value"))
+    fields = [c for c in events.columns if c not in carry]
+    return events.select(*carry, key.alias("key"), F.to_json(F.struct(*fields)).alias("value"))
 
 
-def publishable(events: DataFrame, wiki: str | None = "enwiki") -> DataFrame:
+def publishable(events: DataFrame, wiki: str | None = None) -> DataFrame:
     """Producer side in one step: keep one wiki (None keeps all), stamp, key and serialise."""
     kept = events if wiki is None else events.filter(F.col("wiki") == wiki)
     return to_bus_records(enrich(kept))

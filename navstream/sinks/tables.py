@@ -17,6 +17,7 @@ def write_partitioned(
     mode: str = "overwrite",
     dynamic: bool = True,
     shuffle: bool = True,
+    rebalance: bool = False,
 ) -> None:
     """Writes ``df`` so a re-run replaces only the partitions it carries, with sorted row groups.
 
@@ -29,12 +30,16 @@ def write_partitioned(
     * ``partitionOverwriteMode=dynamic`` per write: partitions absent from ``df`` are untouched.
     * ``shuffle=False`` skips the range exchange for inputs already laid out by partition key
       (one scan task per monthly file): only the local sort remains.
+    * ``rebalance=True`` exchanges by the partition columns instead of ranges: about one file per folder, large
+      folders split and small ones joined by AQE, and no sampling pass over the input.
     """
     cols = [*partition_by, *sort_by]
     out = df
     if cols:
         keys = [F.col(c) for c in cols]
-        if shuffle:
+        if rebalance:
+            out = out.hint("rebalance", *[F.col(c) for c in partition_by])
+        elif shuffle:
             out = out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
         out = out.sortWithinPartitions(*cols)
     writer = out.write.mode(mode)

@@ -38,10 +38,11 @@ def read_topic_batch(
     starting_offsets: str = "earliest",
     ending_offsets: str = "latest",
 ) -> DataFrame:
-    """Batch read of a bounded offset range (backfill / replay)."""
+    """Batch read of a bounded offset range (backfill / replay). A range that is partly gone is an error: only the
+    live stream may skip purged offsets."""
     options = kafka_source_options(settings)
     options.pop("maxOffsetsPerTrigger")
-    options.update(startingOffsets=starting_offsets, endingOffsets=ending_offsets)
+    options.update(startingOffsets=starting_offsets, endingOffsets=ending_offsets, failOnDataLoss="true")
     return spark.read.format("kafka").options(**options).load().select("key", "value")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navstream.functions.events import message_key
+from navstream.sinks.bus import to_bus_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,14 +26,15 @@ def _month_of_shipdate() -> F.Column:
     return F.substring(F.col("l_shipdate").cast("string"), 1, 7)
 
 
-def clickstream_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    """``prev, curr, type, n, month`` edges: supplier -> part, flag -> link type, quantity -> clicks."""
+def clickstream_from_lineitem(lineitem: DataFrame, *carry: F.Column) -> DataFrame:
+    """``prev, curr, type, n, month`` edges (and ``carry``): supplier -> part, flag -> link type, quantity -> clicks."""
     return lineitem.select(
         F.col("l_suppkey").cast("string").alias("prev"),
         F.col("l_partkey").cast("string").alias("curr"),
         _link_type().alias("type"),
         F.col("l_quantity").cast("bigint").alias("n"),
         _month_of_shipdate().alias("month"),
+        *carry,
     )
 
 
@@ -78,8 +79,8 @@ def edits_from_events(events: DataFrame, time_type: str = "timestamp_ntz") -> Da
     )
 
 
-def edit_records_from_events(events: DataFrame) -> DataFrame:
-    """``key, value`` records as the producer publishes them: keyed JSON edit events.
+def edit_payloads_from_events(events: DataFrame, *carry: str) -> DataFrame:
+    """Edit events as the feed delivers them (after the ``carry`` columns).
 
     Derived columns: epoch-second timestamp, a ``length`` struct whose difference is the size delta
     (``old`` absent when the delta is unknown) and a ``revision`` struct (absent without a revision).
@@ -87,6 +88,7 @@ def edit_records_from_events(events: DataFrame) -> DataFrame:
     edits = edits_from_events(events, time_type="timestamp")
     base_len = (F.col("rev_new") % 1000 + 100).cast("int")
     payload = edits.select(
+        *carry,
         "wiki",
         "title",
         "user",
@@ -103,6 +105,24 @@ def edit_records_from_events(events: DataFrame) -> DataFrame:
             F.struct((F.col("rev_new") - 1).alias("old"), F.col("rev_new").alias("new")),
         ).alias("revision"),
     )
-    return payload.select(
-        message_key().alias("key"), F.to_json(F.struct(*payload.columns)).alias("value")
+    return payload
+
+
+def edit_records_from_events(events: DataFrame) -> DataFrame:
+    """``key, value`` records as the producer publishes them: keyed JSON edit events."""
+    return to_bus_records(edit_payloads_from_events(events))
+
+
+def dirty_edit_records_from_events(events: DataFrame) -> DataFrame:
+    """The same records as binary, with every fault injected by residues of the event id: broken JSON, blank
+    payloads, timestamps out of range and in milliseconds, missing and empty keys."""
+    k = F.col("event_id")
+    stamp = F.col("timestamp")
+    payload = edit_payloads_from_events(events, "event_id")
+    payload = payload.withColumn(
+        "timestamp", F.when(k % 23 == 0, F.lit(9_000_000_000_000_000_000)).when(k % 29 == 0, stamp * 1000).otherwise(stamp)
     )
+    records = to_bus_records(payload, carry=("event_id",))
+    key = F.when(k % 31 == 0, F.lit(None)).when(k % 37 == 0, F.lit("")).otherwise(F.col("key"))
+    value = F.when(k % 17 == 0, F.concat(F.lit("{broken "), F.col("value"))).when(k % 19 == 0, F.lit("  ")).otherwise(F.col("value"))
+    return records.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"))

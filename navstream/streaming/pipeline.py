@@ -23,7 +23,7 @@ def silver_edits(records: DataFrame, settings: StreamSettings = StreamSettings()
     on the event-time column through it, so the JSON payload is parsed once per record instead of
     being re-parsed inside a pushed-down filter.
     """
-    parsed = E.parse_edit_payloads(records)
+    parsed = E.only_wiki(E.parse_edit_payloads(records), settings.wiki_filter)
     watermarked = E.with_event_watermark(parsed, settings.watermark)
     valid = E.valid_events(watermarked)
     return E.drop_duplicate_events(valid)
@@ -84,6 +84,7 @@ def start_silver_first(
     layout: StreamLayout,
     settings: StreamSettings = StreamSettings(),
     available_now: bool = False,
+    console: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Dedups once into a silver Parquet stream, then feeds the marts from it.
 
@@ -100,7 +101,7 @@ def start_silver_first(
         silver_query.awaitTermination()
     silver_stream = spark.readStream.schema(silver.schema).parquet(layout.output("silver_edits"))
     watermarked = E.with_event_watermark(silver_stream, settings.watermark)
-    queries = start_marts(watermarked, layout, settings, available_now, console=False)
+    queries = start_marts(watermarked, layout, settings, available_now, console)
     queries["silver_edits"] = silver_query
     return queries
 

@@ -98,3 +98,37 @@ def test_validate_and_quarantine_step(spark, workdir):
     assert n_bad == 0
     assert rows(quarantine_report(spark, path), "month") == [("2024-10",)]
     assert rows(quarantine_report(spark, path, month="2024-10"), "month") == [("2024-10",)]
+
+
+def _marts(spark, out):
+    names = ("monthly_trend", "top_articles_indegree", "link_pairs", "top_link_pairs", "top_articles_outdegree")
+    return {n: {r["month"] for r in read_mart(spark, out, n).select("month").distinct().collect()} for n in names}
+
+
+def test_rerun_drops_months_that_lost_their_rows_or_links(spark, workdir):
+    schema = "prev string, curr string, type string, n bigint, month string"
+    settings = _settings(workdir)
+    first = [("a", "b", "link", 3, "2024-10"), ("a", "d", "link", 4, "2024-10"), ("a", "b", "link", 5, "2024-11")]
+    run_batch(spark, settings, raw=spark.createDataFrame(first, schema))
+    assert all(months == {"2024-10", "2024-11"} for months in _marts(spark, settings.output_dir).values())
+    second = [("a", "b", "link", -3, "2024-10"), ("a", "b", "external", 5, "2024-11")]
+    run_batch(spark, settings, raw=spark.createDataFrame(second, schema))
+    got = _marts(spark, settings.output_dir)
+    assert got["monthly_trend"] == got["top_articles_indegree"] == {"2024-11"}
+    assert got["link_pairs"] == got["top_link_pairs"] == got["top_articles_outdegree"] == set()
+
+
+def test_junk_months_share_one_folder_and_files_stay_few(spark, workdir):
+    junk = spark.range(2_000).select(
+        F.lit("a").alias("prev"), F.lit("b").alias("curr"), F.lit("link").alias("type"), F.lit(1).cast("bigint").alias("n"),
+        F.concat(F.lit("junk"), F.col("id")).alias("month"),
+    )
+    good = junk.withColumn("month", F.lit("2024-10"))
+    settings = _settings(workdir)
+    report = run_batch(spark, settings, raw=junk.unionByName(good).repartition(16))
+    assert report.months == ["2024-10"] and report.quarantined_rows == 2_000
+    checked = workdir / "out" / "clickstream_checked"
+    assert len([p for p in checked.glob("status=quarantine/month=*")]) == 1
+    assert len([p for p in checked.glob("status=*/month=*/*.parquet")]) <= 4
+    raw_months = read_quarantine(spark, settings.quarantine_dir).select("raw_month").distinct().count()
+    assert raw_months == 2_000

@@ -143,3 +143,30 @@ def test_publishable_filters_wiki_and_parses_back(spark):
     back = E.parse_edit_records(records)
     assert back.count() == edits.filter(F.col("wiki") == "frwiki").count()
     assert {r["wiki"] for r in back.select("wiki").distinct().collect()} == {"frwiki"}
+
+
+def test_timestamps_out_of_range_are_rejected_and_counted(spark):
+    body = '{"wiki":"enwiki","title":"t","timestamp":%s}'
+    rows = [("a", body % 9000000000000000000), ("b", body % (T0 * 1000)), ("c", body % T0), ("d", "{broken")]
+    parsed = E.parse_edit_payloads(spark.createDataFrame(rows, "key string, value string"))
+    assert [r["event_key"] for r in E.valid_events(parsed).collect()] == ["c"]
+    assert tuple(E.rejected_events(parsed).first()) == (4, 3, 1, 2)
+
+
+def test_blank_keys_fall_back_to_the_payload(spark):
+    body = '{"wiki":"enwiki","title":"t","timestamp":%d,"revision":{"new":%d}}'
+    rows = [("", body % (T0, 1)), ("", body % (T0, 2)), (None, body % (T0, 3)), (" ", body % (T0, 3))]
+    silver = E.parse_edit_records(spark.createDataFrame(rows, "key string, value string"))
+    kept = E.drop_duplicate_events(silver)
+    assert sorted(r["event_key"] for r in kept.collect()) == ["enwiki:1", "enwiki:2", "enwiki:3"]
+
+
+def test_batch_dedup_keeps_the_least_copy(spark):
+    schema = "event_key string, event_time timestamp, v string"
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [("k", t, "b"), ("k", t, "a"), ("k", t + dt.timedelta(seconds=1), "0"), (None, t, "x"), (None, t, "x")]
+    for order in (rows, rows[::-1]):
+        got = E.drop_duplicate_events(spark.createDataFrame(order, schema)).collect()
+        assert sorted((r["event_key"] or "", r["v"]) for r in got) == [("", "x"), ("k", "a")]

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from navstream.plans.catalog import QUERIES
 from conftest import SF_ORACLE, SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -36,7 +37,7 @@ def _canon(records, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -45,7 +46,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_ORACLE)
     got = [tuple(r) for r in df.collect()]
