@@ -114,10 +114,10 @@ def _true_blocks(text: bytes, listed: list[dict], length: int) -> tuple[np.ndarr
 
 
 def open_positions(docs: DataFrame, opened: DataFrame, length: int) -> DataFrame:
-    """(id, p, r, s): windows of open blocks with the pair of names of their bytes at p and at p + offset, packed
-    into 96 bits."""
+    """(id, p, r, s): windows of open blocks (and the positions behind them that later rounds pair them with) with
+    the pair of names of their bytes at p and at p + offset, packed into 96 bits."""
     width, _ = first_length(length)
-    offset = min(width, length - width)
+    offset, ahead = min(width, length - width), max(0, length - 2 * width)
     listed = opened.groupBy("id").agg(F.collect_list(F.struct("place", "check")).alias("listed"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +126,9 @@ def open_positions(docs: DataFrame, opened: DataFrame, length: int) -> DataFrame
             for doc, text, some in zip(ids, texts_as_bytes(part.column("text")), part.column("listed").to_pylist(), strict=True):
                 first, windows = _true_blocks(text or b"", some, length)
                 if len(first):
-                    p = np.repeat(first - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+                    n = windows + ahead
+                    p = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    p = np.unique(p) if ahead else p
                     names = name_hashes(np.frombuffer(text, dtype=np.uint8), width)
                     out.append((np.full(len(p), doc, dtype=np.int64), p, *packed_pair(names[p], names[p + offset])))
             if out:
