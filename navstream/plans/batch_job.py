@@ -63,10 +63,20 @@ def write_checked(raw: DataFrame, path: str, by_month: bool = False) -> Observat
     scan task holds one month.
     """
     observation = Observation("contract")
-    flagged = with_contract_flags(raw)
-    is_bad = F.col(ANY_VIOLATION)
+    is_bad = F.col(STATUS) == "quarantine"
     month, is_link = F.col("month"), F.col("type") == "link"
-    checked = flagged.withColumns({RAW_MONTH: month, "month": month_key()}).observe(
+    checked = with_contract_flags(raw).select(
+        *CLICKSTREAM_SCHEMA.fieldNames(),
+        REASON,
+        F.col("month").alias(RAW_MONTH),
+        F.when(F.col(ANY_VIOLATION), F.lit("quarantine")).otherwise(F.lit("clean")).alias(STATUS),
+        month_key().alias("month"),
+    )
+    # No shuffle where a scan task holds one input file (one month) and writes into its own folders only; other
+    # inputs are rebalanced by folder, before the observation, which an empty exchange would otherwise take away.
+    if not by_month:
+        checked = checked.hint("rebalance", STATUS, "month")
+    checked = checked.observe(
         observation,
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(is_bad).alias("quarantined_rows"),
@@ -74,16 +84,9 @@ def write_checked(raw: DataFrame, path: str, by_month: bool = False) -> Observat
         F.collect_set(F.when(~is_bad, month)).alias("clean_months"),
         F.collect_set(F.when(~is_bad & is_link, month)).alias("link_months"),
         F.collect_set(F.when(is_bad, month)).alias("bad_months"),
-    ).select(
-        *CLICKSTREAM_SCHEMA.fieldNames(),
-        REASON,
-        RAW_MONTH,
-        F.when(is_bad, F.lit("quarantine")).otherwise(F.lit("clean")).alias(STATUS),
-        "month",
     )
-    # No shuffle where a scan task holds one input file (one month) and writes into its own folders only;
-    # other inputs are rebalanced by folder. The local sort clusters row groups by target title.
-    write_partitioned(checked, path, partition_by=(STATUS, "month"), sort_by=("curr",), shuffle=False, rebalance=not by_month)
+    # The local sort clusters row groups by target title.
+    write_partitioned(checked, path, partition_by=(STATUS, "month"), sort_by=("curr",), shuffle=False)
     return observation
 
 

@@ -20,7 +20,8 @@ def validate_and_quarantine(spark: SparkSession, df: DataFrame, quarantine_path:
 
     The write replaces only the months present in ``df``; a month of ``df`` without violations has
     its old quarantine partition removed, so a re-run never leaves stale rejects behind. The count
-    and the month sets are observed during the write (no extra pass).
+    and the month sets are observed during the write (no extra pass). Values that are no month share one partition
+    and keep their text in ``raw_month``.
     """
     split = split_by_contract(df)
     observation = Observation("quarantine")
@@ -32,9 +33,9 @@ def validate_and_quarantine(spark: SparkSession, df: DataFrame, quarantine_path:
         F.collect_set(F.when(F.col(ANY_VIOLATION), month)).alias("bad_months"),
     )
     bad = observed.filter(F.col(ANY_VIOLATION)).select(*[c for c in df.columns if c != "month"], REASON, RAW_MONTH, "month")
-    # Rebalanced, not range-partitioned: a range exchange would sample by re-running the scan of ``df``
-    # (a second pass over the raw input, double-counted metrics).
-    write_partitioned(bad, quarantine_path, sort_by=QUARANTINE_SORT, rebalance=True)
+    # No exchange: a range exchange would sample by re-running the scan of ``df`` (a second pass
+    # over the raw input, double-counted metrics). Each task writes its own rejects, sorted.
+    write_partitioned(bad, quarantine_path, sort_by=QUARANTINE_SORT, shuffle=False)
     metrics = observation.get
     drop_partitions(spark, quarantine_path, "month", sorted(set(metrics["months"]) - set(metrics["bad_months"])))
     return split.clean, int(metrics["bad"])

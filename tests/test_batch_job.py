@@ -132,3 +132,9 @@ def test_junk_months_share_one_folder_and_files_stay_few(spark, workdir):
     assert len([p for p in checked.glob("status=*/month=*/*.parquet")]) <= 4
     raw_months = read_quarantine(spark, settings.quarantine_dir).select("raw_month").distinct().count()
     assert raw_months == 2_000
+
+
+def test_an_empty_delivery_writes_nothing(spark, workdir):
+    empty = spark.createDataFrame([], "prev string, curr string, type string, n bigint, month string")
+    report = run_batch(spark, _settings(workdir), raw=empty)
+    assert (report.raw_rows, report.quarantined_rows, report.months) == (0, 0, [])

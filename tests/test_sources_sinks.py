@@ -101,7 +101,7 @@ def test_drop_partitions(spark, workdir):
 
 def test_default_partition_reads_back_null(spark, workdir):
     path = str(workdir / "q")
-    df = spark.createDataFrame([("a", "b", "link", 1, "x", "")], MART_SCHEMAS["quarantine"])
+    df = spark.createDataFrame([("a", "b", "link", 1, "x", "junk", "")], MART_SCHEMAS["quarantine"])
     write_partitioned(df, path, sort_by=("_reason",))
     assert read_quarantine(spark, path).first()["month"] is None
     drop_partitions(spark, path, "month", [""])

@@ -59,11 +59,11 @@ def test_stream_windows_replays_late_rows_and_restart(spark, workdir):
     _land(spark, landing, "b1", BATCH_1)
     settings = _settings(workdir)
     source = lambda: read_record_files_stream(spark, f"{landing}/*")
-    drain(start_streaming(spark, settings, records=source(), available_now=True, console=False))
+    drain(start_streaming(spark, settings, records=source(), available_now=True, silver_first=False, console=False))
     assert _rate(spark, workdir) == [("10:00", "enwiki", 2, 1), ("10:01", "dewiki", 1, 0)]
 
     _land(spark, landing, "b2", BATCH_2)
-    queries = start_streaming(spark, settings, records=source(), available_now=True, console=False)
+    queries = start_streaming(spark, settings, records=source(), available_now=True, silver_first=False, console=False)
     drain(queries)
     assert _rate(spark, workdir) == [("10:00", "enwiki", 2, 1), ("10:01", "dewiki", 1, 0), ("10:10", "enwiki", 2, 0)]
     dropped = sum(
@@ -116,7 +116,7 @@ def test_processing_time_queries_stop_together(spark, workdir):
     landing = workdir / "landing"
     _land(spark, landing, "b1", BATCH_1)
     settings = StreamSettings(output_dir=str(workdir / "out"), checkpoint_dir=str(workdir / "chk"), trigger_seconds=1)
-    queries = start_streaming(spark, settings, records=read_record_files_stream(spark, f"{landing}/*"), console=False)
+    queries = start_streaming(spark, settings, records=read_record_files_stream(spark, f"{landing}/*"), silver_first=False, console=False)
     assert all(q.isActive for q in queries.values())
     for q in queries.values():
         q.processAllAvailable()
