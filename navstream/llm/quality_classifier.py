@@ -117,7 +117,7 @@ def normal_equations(rows: DataFrame, fmap: FourierMap) -> np.ndarray:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((FOLDS, width - 1, width))
         for part in parts:
-            z = fmap(np.array(part["x"].tolist()).reshape(len(part), -1))
+            z = fmap(np.array(part["x"].tolist()).reshape(len(part), len(STATS)))
             zy = np.hstack([z, part[["y"]].to_numpy()])
             for f in range(FOLDS):
                 own = part["fold"].to_numpy() == f
@@ -167,7 +167,7 @@ def quality_scores(
 
     def unseen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            z = fmap(np.array(part["x"].tolist()).reshape(len(part), -1))
+            z = fmap(np.array(part["x"].tolist()).reshape(len(part), len(STATS)))
             yield pd.DataFrame({"raw": (z * without[part["fold"].to_numpy()]).sum(axis=1), "y": part["y"]})
 
     knots = fit_isotonic(train.mapInPandas(unseen, "raw double, y double"), "raw", "y", -0.5, 1.5)
@@ -175,7 +175,7 @@ def quality_scores(
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            stats = np.asarray(part.column("x").flatten(), dtype=np.float64).reshape(part.num_rows, -1)
+            stats = np.asarray(part.column("x").flatten(), dtype=np.float64).reshape(part.num_rows, len(STATS))
             p = calibrate(fmap(stats) @ weights, knots)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p)], names=["doc_id", "score"])
 
