@@ -88,7 +88,8 @@ def dedup_lines(
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"), rest.alias("rest"))
     units = cut(line_units(source.drop("rest"), min_words), "lines-units")
     place = F.struct("id", "th", "line")
-    repeated = units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written out, so that the join knows its size: broadcast while small, else a sort-merge join AQE can split at a hot line
+    repeated = cut(units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lines-repeated")
     later = units.join(repeated, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
     removed = cut(
         later.groupBy("id", "th").agg(F.sort_array(F.collect_set("line")).alias("lines"))
