@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from navstream.llm.common import cut
+
 #: Rows of one block.
 BLOCK = 1024
 #: Groups up to this size are compared by shifts over the whole slice, larger ones as a matrix.
@@ -25,12 +27,14 @@ def block_pairs(keyed: DataFrame, row_id: str, payload: DataFrame | None = None)
     """``keyed`` (key, row id, ...) with (lo, hi, own): the pair of blocks a row is compared in, and its own
     block; sorted so that groups are contiguous in a task.
 
-    Only buckets above BLOCK rows need more than one block, so the counts joined back are those of large buckets. With
+    Only buckets above BLOCK rows need more than one block, so the counts joined back are those of large buckets. They
+    are written out first, so that the join knows their size: a broadcast while they are few, else a sort-merge join that
+    AQE can split at a hot bucket. With
     a ``payload`` (row id, ...) to carry, rows alone in their bucket are left out before it is joined.
     """
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     if payload is None:
-        counted = keyed.join(counts.where(F.col("n") > BLOCK), "key", "left")
+        counted = keyed.join(cut(counts.where(F.col("n") > BLOCK), "large-buckets"), "key", "left")
     else:
         counted = keyed.join(counts.where("n > 1"), "key")
     blocks = F.ceil(F.coalesce("n", F.lit(1)) / BLOCK).cast("int")
