@@ -15,16 +15,16 @@ def _least(links: DataFrame, node: str) -> DataFrame:
     return links.groupBy(node).agg(F.min("b").alias("m"))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, name: str) -> DataFrame:
     """Every node hands its larger neighbours to its least neighbour (or itself)."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = _least(both, "a").select("a", F.least("a", "m").alias("m"))
+    least = cut(_least(both, "a").select("a", F.least("a", "m").alias("m")), f"{name}-least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, name: str) -> DataFrame:
     """Every node hands its smaller neighbours, and itself, to the least of them. Links point downwards here."""
-    least = _least(links, "a")
+    least = cut(_least(links, "a"), f"{name}-least")
     handed = links.join(least, "a")
     return (
         handed.select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -39,14 +39,16 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
     ``links`` holds (a, b) in any order, repeats allowed. Each round is written to the shared folder; the
     driver sees one count and one checksum per round. Links never outnumber the first round's, and
-    minima are combined before each shuffle, so a hub costs no more than its own links.
+    minima are combined before each shuffle and written out, so their join back is a broadcast while they are few, else a
+    sort-merge join whose tasks AQE splits at a hub.
     """
     now = cut(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-links"
     )
     stamp = None
     for _ in range(MAX_ROUNDS):
-        now = cut(_small_star(_large_star(now)), f"{name}-links")
+        now = cut(_large_star(now, name), f"{name}-links")
+        now = cut(_small_star(now, name), f"{name}-links")
         seen = tuple(now.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
         if seen == stamp or seen[0] == 0:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
