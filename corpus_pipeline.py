@@ -39,8 +39,9 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the lines that an earlier document holds; the length column follows the text."""
-    done = dedup_lines(docs, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
+    """Texts lose the lines, and the passages of short lines, that an earlier document holds; the length column
+    follows the text."""
+    done = dedup_lines(docs, passages=True, keep=[c for c in docs.columns if c not in ("doc_id", "text")])
     own = {"doc_id": F.col("id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return done.select(*[own.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 

@@ -1,11 +1,18 @@
-"""Substring dedup by hashing lines.
+"""Substring dedup by hashing lines, and passages of short lines.
 
 Every text splits into lines; a line is normalised (ASCII letters lower-cased, runs of white space as one
 space, ends trimmed) and, if it holds at least ``min_words`` words, hashed to 128 bits. Digests are grouped
 over the whole corpus, the occurrence of the smallest (id, line) stays, and every other one is cut
 from its text. Removed lines are reported by their offsets in the original text.
 
-Defined cases: a NULL text has no lines and stays NULL; shorter lines (and empty ones) always stay; a
+With ``passages`` a line is a unit from ``MIN_POINTS`` code points on as well, and shorter lines count together: any
+sequence of consecutive short lines that reaches either size goes where it occurs earlier in the corpus (in the
+same text: ahead of it, without overlap). Every line that is not blank starts the shortest such sequence from it on and
+ends the shortest one up to it; these cover all longer ones and are hashed as units. Blank lines neither count
+nor end a sequence, and go with it where they lie inside; a line that is a unit ends it.
+
+Defined cases: a NULL text has no lines and stays NULL; shorter lines (and empty ones) always stay, unless
+``passages`` cuts a sequence that holds them; a
 line repeated within one text counts like any other repeat; rows with equal id and text are one document (what
 one keeps, the other keeps); rows with equal id and different texts are ranked by a hash of the text; a NULL id
 ranks before all others; further columns are ignored; an empty input gives an empty result. Texts are
@@ -15,7 +22,7 @@ processed whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +34,8 @@ from navstream.llm.common import batches, cut, prepare
 
 #: Lines with fewer words recur by chance and are left alone.
 MIN_WORDS = 8
+#: With ``passages``, as good as so many words: scripts without spaces have long lines of one word.
+MIN_POINTS = 48
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -35,42 +44,76 @@ def normalise(line: str) -> str:
     return SPACE.sub(" ", line.translate(LOWER)).strip(" ")
 
 
-def eligible(line: str, min_words: int = MIN_WORDS) -> str | None:
-    """The normalised line if it is long enough to be a unit."""
-    unit = normalise(line)
-    return unit if unit and unit.count(" ") + 1 >= min_words else None
+def passages_of(run: list[tuple[int, str]], long_enough: Callable[[int, int], bool]) -> Iterator[tuple[str, int, int]]:
+    """(unit, first line, last line) of the shortest long enough sequences from every line on and up to every line."""
+    words, points = (np.cumsum([0, *x]).tolist() for x in ([u.count(" ") + 1 for _, u in run], [len(u) for _, u in run]))
+    found, i = set(), 0
+    for j in range(len(run)):
+        while long_enough(words[j + 1] - words[i], points[j + 1] - points[i]):
+            found.add((i, j))  # the first line to end the sequence of i
+            i += 1
+        if i:
+            found.add((i - 1, j))  # the last line to start one up to j
+    for i, j in found:
+        yield "\n".join([u for _, u in run[i : j + 1]]), run[i][0], run[j][0]
+
 
+def text_units(text: str, min_words: int, passages: bool) -> Iterator[tuple[str, int, int]]:
+    """(unit, first line, last line) of every unit of one text."""
 
-def line_units(docs: DataFrame, min_words: int) -> DataFrame:
-    """(d1, d2, id, th, line) of every unit of (id, text, th)."""
+    def long_enough(words: int, points: int) -> bool:
+        return words >= min_words or (passages and points >= MIN_POINTS)
+
+    run: list[tuple[int, str]] = []
+    for number, line in enumerate(text.split("\n")):
+        if not (unit := normalise(line)):
+            continue
+        if long_enough(unit.count(" ") + 1, len(unit)):
+            yield unit, number, number
+            yield from passages_of(run, long_enough)
+            run = []
+        elif passages:
+            run.append((number, unit))
+    yield from passages_of(run, long_enough)
+
+
+def line_units(docs: DataFrame, min_words: int, passages: bool) -> DataFrame:
+    """(d1, d2, id, th, line, last) of every unit of (id, text, th)."""
     id_type = dict(docs.dtypes)["id"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(rows, 128):
-            digests, where, lines = [], [], []
+            digests, where, lines, lasts = [], [], [], []
             for row, text in enumerate(part.column("text").to_pylist()):
-                for number, line in enumerate((text or "").split("\n")):
-                    if unit := eligible(line, min_words):
-                        digests.append(xxhash.xxh3_128_digest(unit.encode()))
-                        where.append(row)
-                        lines.append(number)
+                for unit, line, last in text_units(text or "", min_words, passages):
+                    digests.append(xxhash.xxh3_128_digest(unit.encode()))
+                    where.append(row)
+                    lines.append(line)
+                    lasts.append(last)
             d = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
             rows_at = pa.array(where, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(d[:, 0]), pa.array(d[:, 1]), part.column("id").take(rows_at), part.column("th").take(rows_at), pa.array(lines, pa.int32())],
-                names=["d1", "d2", "id", "th", "line"],
-            )
+                [
+                    pa.array(d[:, 0]), pa.array(d[:, 1]), part.column("id").take(rows_at), part.column("th").take(rows_at),
+                    pa.array(lines, pa.int32()), pa.array(lasts, pa.int32()),
+                ],
+                names=["d1", "d2", "id", "th", "line", "last"],
+            )
 
-    return docs.mapInArrow(run, f"d1 long, d2 long, id {id_type}, th long, line int")
+    return docs.mapInArrow(run, f"d1 long, d2 long, id {id_type}, th long, line int, last int")
 
 
-def split_text(text: str | None, removed: list[int]) -> tuple[str | None, list[dict]]:
-    """The text without the removed lines, and their (start, end) character offsets in the original."""
+def split_text(text: str | None, removed: list[dict]) -> tuple[str | None, list[dict]]:
+    """The text without the removed stretches of lines, and the lines' (start, end) character offsets in the original."""
     if text is None or not removed:
         return text, []
-    gone, kept, spans, at = set(removed), [], [], 0
-    for number, line in enumerate(text.split("\n")):
-        if number in gone:
+    lines = text.split("\n")
+    change = np.zeros(len(lines) + 1, dtype=np.int64)
+    np.add.at(change, [x["line"] for x in removed], 1)
+    np.add.at(change, [x["last"] + 1 for x in removed], -1)
+    gone, kept, spans, at = np.cumsum(change).tolist(), [], [], 0
+    for number, line in enumerate(lines):
+        if gone[number]:
             spans.append({"start": at, "end": at + len(line)})
         else:
             kept.append(line)
@@ -79,20 +122,23 @@ def split_text(text: str | None, removed: list[int]) -> tuple[str | None, list[d
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: list[str] | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: list[str] | None = None,
+    passages: bool = False,
 ) -> DataFrame:
     """(id, text, n_lines, n_removed, spans, rest): one row per input row, ``text`` without its repeated lines;
     ``rest`` is a struct of the ``keep`` columns."""
     prepare(docs.sparkSession)
     rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(0)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"), rest.alias("rest"))
-    units = cut(line_units(source.drop("rest"), min_words), "lines-units")
-    place = F.struct("id", "th", "line")
+    units = cut(line_units(source.drop("rest"), min_words, passages), "lines-units")
+    place = F.struct("id", "th", "line", "last")
     # written out, so that the join knows its size: broadcast while small, else a sort-merge join AQE can split at a hot line
     repeated = cut(units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lines-repeated")
-    later = units.join(repeated, ["d1", "d2"]).where(~place.eqNullSafe(F.col("first")))
+    # an occurrence that begins inside the first one is no repeat of it
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")) & (F.col("line") <= F.col("first.last"))
+    later = units.join(repeated, ["d1", "d2"]).where(~same)
     removed = cut(
-        later.groupBy("id", "th").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+        later.groupBy("id", "th").agg(F.collect_set(F.struct("line", "last")).alias("lines"))
         .select(F.col("id").alias("rid"), F.col("th").alias("rth"), "lines"),
         "lines-removed",
     )
