@@ -28,14 +28,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, the one of the smallest id. Rows without an id stay; of rows
-    equal in id and text one stays."""
-    first = simhash_groups(docs).where("id = component").select(F.col("id").alias("first__")).distinct()
-    th = F.xxhash64("text")
-    kept = docs.join(first, docs["doc_id"] == first["first__"], "left_semi")
+    """One document of each SimHash group stays, the one of the smallest id, or in a group without ids the one of
+    the smallest fingerprint and text hash; of rows equal in id and text one stays."""
+    found = simhash_groups(docs)
+    first = found.where("id = component").select(F.col("id").alias("first__")).distinct()
+    nameless = found.where("component IS NULL").groupBy("group").agg(F.min(F.struct("fp", "th")).alias("first")).select(F.col("first.th").alias("first__"))
+    keyed = docs.withColumn("th__", F.xxhash64("text"))
+    kept = keyed.join(first, keyed["doc_id"] == first["first__"], "left_semi").unionByName(
+        keyed.where("doc_id IS NULL").join(nameless, keyed["th__"] == nameless["first__"], "left_semi")
+    )
     once = Window.partitionBy("doc_id", "th__").orderBy("th__")
-    kept = kept.withColumn("th__", th).withColumn("n__", F.row_number().over(once)).where("n__ = 1").select(*docs.columns)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    return kept.withColumn("n__", F.row_number().over(once)).where("n__ = 1").select(*docs.columns)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

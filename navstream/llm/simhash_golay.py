@@ -15,8 +15,8 @@ Equal fingerprints are one node, so copies cost nothing; buckets are compared in
 
 Defined cases: a NULL or wordless text has fingerprint zero and links like any other; fewer words than a
 shingle make one shingle; rows with equal ids are rows of one document id and each gets its row; a NULL id
-never names a component: its row gets the component of its fingerprint (NULL if no other id
-has or reaches that fingerprint); further columns are ignored; an empty input gives an empty result. Texts are
+never names a component, but its fingerprint links like any other: its row gets the least id of its group (NULL if
+no row of the group has an id); further columns are ignored; an empty input gives an empty result. Texts are
 hashed whole.
 """
 
@@ -67,17 +67,17 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """(id, fp) of every row."""
+    """(id, fp, th) of every row; ``th`` is a hash of the text."""
     prepare(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
     id_type = dict(source.dtypes)["id"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(rows, 512):
             fps = pa.array([fingerprint(t, width) for t in texts_as_bytes(part.column("text"))], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("id"), fps], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), fps, part.column("th")], names=["id", "fp", "th"])
 
-    return source.mapInArrow(run, f"id {id_type}, fp long")
+    return source.mapInArrow(run, f"id {id_type}, fp long, th long")
 
 
 @lru_cache(maxsize=1)
@@ -172,14 +172,18 @@ def _links(pairs: DataFrame, max_bits: int) -> DataFrame:
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(id, fp, component) of every row; ids are integers. The key scheme is exact up to 4 bits."""
+    """(id, fp, th, group, component) of every row: the group is its least fingerprint, the component its least id; ids are
+    integers. The key scheme is exact up to 4 bits."""
     if max_bits > 4:
         raise ValueError("the key scheme finds every pair up to 4 differing bits only")
     prints = cut(fingerprints(docs, id_col, text_col, width), "simhash-prints")
-    nodes = cut(prints.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").cast("long").alias("id")), "simhash-nodes")
-    links = _links(block_pairs(_keyed(nodes), "id"), max_bits)
+    nodes = cut(prints.groupBy("fp").agg(F.min("id").cast("long").alias("least")).select(F.col("fp").alias("id"), "fp", "least"), "simhash-nodes")
+    links = _links(block_pairs(_keyed(nodes.select("id", "fp")), "id"), max_bits)
     found = components(links, "simhash").withColumnRenamed("id", "node")
-    of_print = nodes.join(found, nodes["id"] == found["node"], "left").select(
-        F.col("fp").alias("nfp"), F.coalesce("component", "id").alias("component")
+    grouped = cut(
+        nodes.join(found, nodes["id"] == found["node"], "left").select(F.col("fp").alias("nfp"), F.coalesce("component", "id").alias("group"), "least"),
+        "simhash-grouped",
     )
-    return prints.join(of_print, prints["fp"] == of_print["nfp"], "left").select("id", "fp", "component")
+    named = cut(grouped.groupBy("group").agg(F.min("least").alias("component")), "simhash-named")
+    of_print = grouped.join(named, "group").select("nfp", "group", "component")
+    return prints.join(of_print, prints["fp"] == of_print["nfp"], "left").select("id", "fp", "th", "group", "component")

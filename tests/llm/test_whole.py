@@ -7,6 +7,7 @@ import random
 from conftest_llm import documents
 
 import corpus_pipeline
+from navstream.llm import simhash_golay
 from navstream.llm.unit_dedup import MIN_POINTS, MIN_WORDS, dedup_lines, normalise
 
 
@@ -50,3 +51,19 @@ def test_pipeline_cuts_a_repeated_block_of_short_lines(spark):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.cut_repeated_lines(spark, documents(spark, rows), "").collect()}
     once = "first text\n" + "\n".join(["Read more"] * 4)
     assert got == {1: (once, len(once)), 2: ("second text", 11), 3: (rows[2][1], len(rows[2][1]))}
+
+
+def test_near_copies_without_an_id_leave_one_document_of_each_group(spark):
+    long, other, third = (" ".join(f"{w}{i}" for i in range(400)) for w in "xyz")
+    rows = [(4, long), (None, long), (None, long), (None, other), (None, other), (None, other.upper()), (None, third), (7, third), (None, "lone text")]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, documents(spark, rows), "")
+    got = sorted(((r["doc_id"], r["text"].lower()) for r in kept.collect()), key=repr)
+    assert got == sorted([(4, long), (7, third), (None, other), (None, "lone text")], key=repr)
+
+
+def test_fingerprints_without_an_id_link_the_others(spark, monkeypatch):
+    prints = [(5, 0b0, 1), (None, 0b1111, 2), (3, 0b11111111, 3), (None, -1, 4), (None, -2, 5)]
+    table = spark.createDataFrame(prints, "id long, fp long, th long")
+    monkeypatch.setattr(simhash_golay, "fingerprints", lambda *a: table)
+    got = {r["fp"]: r["component"] for r in simhash_golay.simhash_groups(documents(spark, [])).collect()}
+    assert got == {0b0: 3, 0b1111: 3, 0b11111111: 3, -1: None, -2: None}
