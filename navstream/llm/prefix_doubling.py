@@ -11,7 +11,8 @@ every byte position would shuffle many times the corpus, so positions are ranked
 3. Positions. The windows of open blocks are the positions that prefix doubling runs over: position rank
    pairs (rank at p, rank at p + offset) are sorted by Spark, pairs that are unique drop out, the others get new
    ranks, and the offset doubles until it reaches ``length``. The first ranks are 64-bit names of the
-   first ``length / 2^k`` bytes.
+   first ``length / 2^k`` bytes. Up to 64 bytes (so at ``LENGTH``) the first pair spans the window: no
+   round runs, and one grouping by the pair replaces them.
 
 A task combines equal blocks of its batch first (the later ones are repeats already), so a common passage costs a row
 per batch, not per copy. Ranks of a round are pinned by writing them out.
