@@ -10,9 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from navstream.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -33,9 +30,3 @@ def spark():
 @pytest.fixture()
 def workdir():
     return Path(tempfile.mkdtemp(prefix="navstream-test-"))
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (order-insensitive comparison helper)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

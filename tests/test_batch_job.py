@@ -6,7 +6,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from navstream.operators import clickstream as C
 from navstream.operators import quality as Q
 from navstream.plans.batch_job import run_batch

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from navstream.operators import clickstream as C
 from navstream.plans import catalog as K
 

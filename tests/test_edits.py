@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from navstream.functions.events import message_key, pair_label
 from navstream.operators import edits as E
 from navstream.plans import catalog as K

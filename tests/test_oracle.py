@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from navstream.plans.catalog import QUERIES
-from conftest import SF_ORACLE, SF_SMALL
+from helpers import SF_ORACLE, SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

@@ -10,7 +10,7 @@ from navstream.operators import edits as E
 from navstream.operators.ranking import top_n_per_group
 from navstream.plans.catalog import QUERIES, _edits
 from navstream.sources import standins
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from navstream.operators import serving as S
 from navstream.sinks.tables import write_partitioned
 from navstream.sources.tables import read_mart

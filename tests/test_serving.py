@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from conftest import rows
+from helpers import rows
 from navstream.operators import serving as S
 
 

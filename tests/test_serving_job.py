@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from navstream.plans import catalog as K
 from navstream.plans.serving_job import batch_boards, stream_boards
 from navstream.plans.stream_job import start_streaming

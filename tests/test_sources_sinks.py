@@ -8,7 +8,7 @@ import os
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from navstream.schemas import MART_SCHEMAS
 from navstream.sinks.tables import drop_partitions, write_partitioned
 from navstream.sources.clickstream import clickstream_glob, read_clickstream

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from navstream.operators import edits as E
 from navstream.plans.stream_job import start_streaming
 from navstream.settings import StreamSettings
