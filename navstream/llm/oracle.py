@@ -95,4 +95,128 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BI
 FROM d LEFT JOIN edges USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE = {"op1_quality_rules": OP1, "op6_substring_dedup": OP6, "op10_suffix_array_dedup": OP10}
+
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS g
+  FROM documents
+), h AS (
+  SELECT *, ('0x' || substr(g, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(g, 9, 8))::BIGINT % (n + 1) AS c2,
+         ('0x' || substr(g, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(g, 25, 8))::BIGINT % 100 AS h4
+  FROM d
+), f AS (
+  SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+                        ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM f
+"""
+
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), k AS (
+  SELECT c, turn, sha256(length(role) || ':' || role || text) AS x,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS words
+  FROM t
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(x, 1, 30)) AS r FROM k
+), sized AS (
+  SELECT c, count(*) AS own, c::VARCHAR AS s FROM o GROUP BY c
+), s AS ( -- CRC-32 of the decimal id, bit by bit
+  SELECT c, c - c % 20 AS base, own,
+         xor(4294967295::BIGINT, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+         )) % 4 AS h
+  FROM sized
+), v AS (
+  SELECT s.*, least(s.h, coalesce(b.own, 0)) AS lead FROM s LEFT JOIN s b ON b.c = s.base
+), rebuilt AS (
+  SELECT v.c, o.r AS d, o.x, o.words FROM v JOIN o ON o.c = v.base AND o.r <= v.h
+  UNION ALL SELECT v.c, v.lead + o.r - v.h, o.x, o.words FROM v JOIN o ON o.c = v.c AND o.r > v.h
+), p AS (
+  SELECT c, d, words, sha256(string_agg(x, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS name
+  FROM rebuilt
+), q AS (
+  SELECT c, d, words, name, lag(name) OVER (PARTITION BY c ORDER BY d) AS above FROM p
+), ends AS (
+  SELECT v.c, coalesce(max(p.d), 0) AS d, coalesce(arg_max(p.name, p.d), '') AS name FROM v LEFT JOIN p ON p.c = v.c GROUP BY v.c
+), digests AS (
+  SELECT name, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends FROM ends GROUP BY name
+), nodes AS (
+  SELECT name, d, coalesce(above, '') AS above, min(c) AS m, count(*)::BIGINT AS n, max(words) AS words FROM q GROUP BY name, d, above
+  UNION ALL SELECT '', 0, NULL, min(c), count(*), 0 FROM v HAVING count(*) > 0
+), kids AS (
+  SELECT above, count(*)::BIGINT AS n_children FROM nodes WHERE d > 0 GROUP BY above
+), line AS (
+  SELECT c, name FROM p UNION ALL SELECT c, '' FROM v
+), under AS (
+  SELECT line.name AS top, nodes.* FROM nodes JOIN line ON line.c = nodes.m JOIN nodes u ON u.name = line.name AND u.d <= nodes.d
+), sums AS (
+  SELECT top, count(*) FILTER (WHERE kids.above IS NULL)::BIGINT AS n_leaves, sum((n - 1) * words)::BIGINT AS saved_tokens
+  FROM under LEFT JOIN kids ON kids.above = under.name GROUP BY top
+)
+SELECT nodes.m AS conv_id, nodes.d::BIGINT AS depth, up.m AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n_children, 0) AS n_children,
+       sums.n_leaves, sums.saved_tokens, coalesce(digests.ends, sha256('')) AS ends_sha256
+FROM nodes LEFT JOIN nodes up ON up.name = nodes.above LEFT JOIN kids ON kids.above = nodes.name
+JOIN sums ON sums.top = nodes.name LEFT JOIN digests ON digests.name = nodes.name
+"""
+
+OP13 = r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url, html,
+         CASE WHEN url LIKE '%://%' THEN regexp_replace(regexp_extract(url, '(?s)^(.*?://.*)$', 1), '(?s)^.*?://', '') ELSE '' END AS rest
+  FROM pages
+), u AS (
+  SELECT page_id, url, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM p
+), rules(rule, decided) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')
+), r AS (
+  SELECT rule, decided, split_part(rule, '/', 1) AS h, substr(rule, length(split_part(rule, '/', 1)) + 1) AS s FROM rules
+), fit AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(decided, length(rule)) AS decided
+  FROM (SELECT DISTINCT host, path FROM u) JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s)
+  GROUP BY host, path
+), tags AS (
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'),
+                                        '(?i)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM u WHERE regexp_matches(html, '(?i)canonical|http-equiv') AND regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://')
+), refs AS (
+  SELECT url, regexp_extract(tag, '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1) AS ref FROM tags
+  WHERE regexp_matches(tag, '(?i)^<link') AND regexp_matches(tag, '(?i)\srel\s*=\s*["'']?[^"''>]*\bcanonical\b')
+  UNION ALL
+  SELECT url, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM tags
+  WHERE regexp_matches(tag, '(?i)^<meta') AND regexp_matches(tag, '(?i)\shttp-equiv\s*=\s*["'']?refresh')
+), links AS (
+  SELECT regexp_replace(url, '(?s)#.*', '') AS a, regexp_replace(CASE WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref
+           ELSE regexp_extract(url, '^[^:]*://[^/?#]*') || ref END, '(?s)#.*', '') AS b
+  FROM refs WHERE starts_with(ref, '/') OR contains(ref, '://')
+), edges AS (
+  SELECT a, b FROM links WHERE a <> b UNION SELECT b, a FROM links WHERE a <> b
+), reach(a, b) AS (
+  SELECT a, a FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+), spread AS (
+  SELECT reach.a AS node, min(reach.b) AS alias_of, max(decided = 'allow') AS allowed
+  FROM reach LEFT JOIN fit ON fit.host = translate(regexp_extract(reach.b, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                          AND fit.path = regexp_extract(reach.b, '://[^/?#]*([^?#]*)', 1)
+  GROUP BY reach.a
+)
+SELECT page_id, u.host, u.path, fit.rule,
+       coalesce(fit.decided, CASE WHEN allowed THEN 'allow' WHEN NOT allowed THEN 'block' END, 'allow') AS verdict, alias_of
+FROM u LEFT JOIN fit ON fit.host = u.host AND fit.path = u.path LEFT JOIN spread ON spread.node = regexp_replace(u.url, '(?s)#.*', '')
+"""
+
+ORACLE = {
+    "op1_quality_rules": OP1, "op6_substring_dedup": OP6, "op10_suffix_array_dedup": OP10,
+    "op11_fill_middle": OP11, "op12_prefix_trie": OP12, "op13_url_filter": OP13,
+}

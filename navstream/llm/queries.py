@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from navstream.llm.common import table
 from navstream.llm.e8_dedup import embedding_groups
+from navstream.llm.fill_middle import fill_in_middle, restored
 from navstream.llm.prefix_doubling import remove_repeats
+from navstream.llm.prefix_trie import prefix_trie
 from navstream.llm.quality_classifier import quality_scores
 from navstream.llm.quality_rules import BASE, MEASURES, V1, apply_policies, rule_ledger
 from navstream.llm.sentencepiece_codec import encode_documents
@@ -19,6 +21,7 @@ from navstream.llm.source_mix import mix_sources
 from navstream.llm.token_counts import token_counts
 from navstream.llm.toxicity import toxicity_scores
 from navstream.llm.unit_dedup import dedup_lines
+from navstream.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,10 +87,31 @@ def op10_suffix_array_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_fill_middle(spark, sf_dir):
+    """Every document in fill-in-middle form: cut points, and digests of the output and of the text rebuilt from it."""
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op12_prefix_trie(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_url_filter(spark, sf_dir):
+    """Every page's host, path, rule and verdict, and the URL that names its group of aliases."""
+    judged = judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "alias_of")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_sentencepiece, op3_source_mix, op4_quality_classifier, op5_toxicity, op6_substring_dedup,
         op7_token_counts, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_suffix_array_dedup,
+        op11_fill_middle, op12_prefix_trie, op13_url_filter,
     )
 }
