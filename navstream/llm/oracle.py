@@ -47,28 +47,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 FROM bits
 """
 
-OP6 = r"""
+WORD_PIECE = r"(?:[\x{3000}-\x{D7FF}]|[^\x20\x09-\x0D\x{3000}-\x{D7FF}]+)"
+OP6 = rf"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n
+         generate_subscripts(string_split(text, chr(10)), 1) AS n
   FROM documents WHERE text IS NOT NULL
-), u AS (
-  SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS unit
-  FROM l
 ), k AS (
-  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= 8
-            AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, n) > 1 AS gone
-  FROM u
-), s AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-         coalesce(sum(length(line)) FILTER (WHERE gone), 0) AS removed_chars,
-         coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '') AS kept
-  FROM k GROUP BY doc_id
+  SELECT doc_id, n, unnest(regexp_extract_all(line, '{WORD_PIECE}[\x20\x09\x0B-\x0D]*')) AS piece,
+         generate_subscripts(regexp_extract_all(line, '{WORD_PIECE}[\x20\x09\x0B-\x0D]*'), 1) AS pos
+  FROM l
+), w AS (
+  SELECT doc_id, n, pos, piece, row_number() OVER (PARTITION BY doc_id ORDER BY n, pos) - 1 AS g,
+         translate(regexp_replace(piece, '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word
+  FROM k
+), least AS (
+  SELECT doc_id, g, min(substr(md5(word), 1, 16) || lpad((999999999 - g)::VARCHAR, 9, '0')) OVER eight AS m,
+         count(*) OVER eight AS here
+  FROM w WINDOW eight AS (PARTITION BY doc_id ORDER BY g ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), points AS (
+  SELECT DISTINCT doc_id, 999999999 - substr(m, 17)::BIGINT AS p FROM least WHERE here = 8
+), near AS (
+  SELECT x.doc_id, x.p AS a, y.p AS b FROM points x JOIN points y ON y.doc_id = x.doc_id AND y.p >= x.p + 20 AND y.p <= x.p + 27
+), spans AS (
+  SELECT doc_id, a, min(b) AS b FROM near GROUP BY doc_id, a
+  UNION SELECT doc_id, max(a), b FROM near GROUP BY doc_id, b
+  UNION SELECT doc_id, min(g), max(g) + 1 FROM w GROUP BY doc_id, n HAVING count(*) >= 8
+), units AS (
+  SELECT spans.doc_id, a, b, string_agg(word, ' ' ORDER BY g) AS unit
+  FROM spans JOIN w ON w.doc_id = spans.doc_id AND g >= a AND g < b GROUP BY spans.doc_id, a, b
+), ranked AS (
+  SELECT *, row_number() OVER o AS place, first_value(doc_id) OVER o AS first_doc, first_value(b) OVER o AS first_b
+  FROM units WINDOW o AS (PARTITION BY unit ORDER BY doc_id, a, b ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), gone AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(range(a, b)) AS g FROM ranked WHERE doc_id <> first_doc OR a >= first_b
+  )
+), kept_words AS (
+  SELECT w.*, gone.g IS NOT NULL AS gone FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.g = w.g
+), per_line AS (
+  SELECT doc_id, n, count(*) FILTER (WHERE gone) AS n_gone, count(*) FILTER (WHERE NOT gone) AS n_left,
+         string_agg(piece, '' ORDER BY pos) FILTER (WHERE NOT gone) AS left_over
+  FROM kept_words GROUP BY doc_id, n
+), lines AS (
+  SELECT l.doc_id, l.n, coalesce(n_gone, 0) AS n_gone, n_left,
+         CASE WHEN coalesce(n_gone, 0) = 0 THEN line
+              ELSE regexp_extract(line, '^[\x20\x09\x0B-\x0D]*') || left_over END AS line
+  FROM l LEFT JOIN per_line USING (doc_id, n)
+), done AS (
+  SELECT doc_id, sum(n_gone)::BIGINT AS n_removed, string_agg(line, chr(10) ORDER BY n) FILTER (WHERE n_left IS NULL OR n_left > 0) AS kept
+  FROM lines GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
-       coalesce(removed_chars, 0)::BIGINT AS removed_chars, sha256(coalesce(kept, '')) AS kept_sha256
-FROM documents d LEFT JOIN s USING (doc_id)
+SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN done USING (doc_id)
 """
 
 OP10 = r"""

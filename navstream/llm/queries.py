@@ -20,7 +20,7 @@ from navstream.llm.simhash_golay import simhash_groups
 from navstream.llm.source_mix import mix_sources
 from navstream.llm.token_counts import token_counts
 from navstream.llm.toxicity import toxicity_scores
-from navstream.llm.unit_dedup import dedup_lines
+from navstream.llm.unit_dedup import dedup_units
 from navstream.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,13 +53,9 @@ def op5_toxicity(spark, sf_dir):
 
 
 def op6_substring_dedup(spark, sf_dir):
-    """Every document's repeated lines: how many go, and a digest of what stays."""
-    done = dedup_lines(table(spark, sf_dir, "documents"))
-    return done.select(
-        F.col("id").alias("doc_id"), "n_lines", "n_removed",
-        F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]), F.lit(0)).alias("removed_chars"),
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
-    )
+    """How many words of every document repeat an earlier place of the corpus, and a digest of the text without them."""
+    done = dedup_units(table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_token_counts(spark, sf_dir):

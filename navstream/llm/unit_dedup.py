@@ -1,28 +1,32 @@
-"""Substring dedup by hashing lines, and passages of short lines.
-
-Every text splits into lines; a line is normalised (ASCII letters lower-cased, runs of white space as one
-space, ends trimmed) and, if it holds at least ``min_words`` words, hashed to 128 bits. Digests are grouped
-over the whole corpus, the occurrence of the smallest (id, line) stays, and every other one is cut
-from its text. Removed lines are reported by their offsets in the original text.
-
-With ``passages`` a line is a unit from ``MIN_POINTS`` code points on as well, and shorter lines count together: any
-sequence of consecutive short lines that reaches either size goes where it occurs earlier in the corpus (in the
-same text: ahead of it, without overlap). Every line that is not blank starts the shortest such sequence from it on and
-ends the shortest one up to it; these cover all longer ones and are hashed as units. Blank lines neither count
-nor end a sequence, and go with it where they lie inside; a line that is a unit ends it.
-
-Defined cases: a NULL text has no lines and stays NULL; shorter lines (and empty ones) always stay, unless
-``passages`` cuts a sequence that holds them; a
-line repeated within one text counts like any other repeat; rows with equal id and text are one document (what
-one keeps, the other keeps); rows with equal id and different texts are ranked by a hash of the text; a NULL id
-ranks before all others; further columns are ignored; an empty input gives an empty result. Texts are
-processed whole.
+"""Substring dedup by hashing lines and content-defined runs of words.
+
+A text is a sequence of words: runs of anything but ASCII white space, and each code point of the scripts written without
+spaces on its own. Words are normalised (ASCII letters lower-cased) and units of words are hashed to 96 bits, words joined by one space:
+
+* every line of at least ``MIN_WORDS`` words;
+* runs of words, across line breaks. Cut points depend on the words alone: of every ``WINDOW`` consecutive words the one of the least
+  hash (the last of equal ones) begins a piece. From each cut point the shortest run of pieces that holds ``MIN_RUN`` words is a unit,
+  and up to each cut point likewise.
+
+Digests are grouped over the whole corpus, the occurrence of the smallest (id, position) stays, and the words of every other one go.
+Removed stretches are reported by their offsets in the original text.
+
+What is left of a repeat: cut points inside a repeated passage are the same wherever it stands, the first at most WINDOW - 1
+words behind its beginning, the last at most WINDOW words before its end. A passage of 50 words, however it lies in its lines, thus
+loses at least 35 words in all but its first place, a longer one all but 15 at most. Shorter repeats than a unit recur by chance
+and stay.
+
+Defined cases: a NULL text has no words and stays NULL; an occurrence that begins inside the first one is no repeat of it (so a text
+that repeats itself keeps its first unit); rows with equal id and text are one document (what one keeps, the other keeps); rows with equal id
+and different texts are ranked by a hash of the text; a NULL id ranks before all others; a line that loses all its words goes with its
+break, one that loses some keeps the others with the white space behind them; lines without words stay; further columns are ignored; an empty input gives an
+empty result. Texts are processed whole.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,139 +34,188 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navstream.llm.common import batches, cut, prepare
+from navstream.llm.common import batches, cut, prepare, texts_as_bytes
 
-#: Lines with fewer words recur by chance and are left alone.
+#: Lines with fewer words are no units of their own (runs hold them).
 MIN_WORDS = 8
-#: With ``passages``, as good as so many words: scripts without spaces have long lines of one word.
-MIN_POINTS = 48
-SPACE = re.compile(r"[\x20\x09-\x0D]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
-def normalise(line: str) -> str:
-    return SPACE.sub(" ", line.translate(LOWER)).strip(" ")
-
-
-def passages_of(run: list[tuple[int, str]], long_enough: Callable[[int, int], bool]) -> Iterator[tuple[str, int, int]]:
-    """(unit, first line, last line) of the shortest long enough sequences from every line on and up to every line."""
-    words, points = (np.cumsum([0, *x]).tolist() for x in ([u.count(" ") + 1 for _, u in run], [len(u) for _, u in run]))
-    found, i = set(), 0
-    for j in range(len(run)):
-        while long_enough(words[j + 1] - words[i], points[j + 1] - points[i]):
-            found.add((i, j))  # the first line to end the sequence of i
-            i += 1
-        if i:
-            found.add((i - 1, j))  # the last line to start one up to j
-    for i, j in found:
-        yield "\n".join([u for _, u in run[i : j + 1]]), run[i][0], run[j][0]
-
-
-def text_units(text: str, min_words: int, passages: bool) -> Iterator[tuple[str, int, int]]:
-    """(unit, first line, last line) of every unit of one text."""
-
-    def long_enough(words: int, points: int) -> bool:
-        return words >= min_words or (passages and points >= MIN_POINTS)
-
-    run: list[tuple[int, str]] = []
-    for number, line in enumerate(text.split("\n")):
-        if not (unit := normalise(line)):
-            continue
-        if long_enough(unit.count(" ") + 1, len(unit)):
-            yield unit, number, number
-            yield from passages_of(run, long_enough)
-            run = []
-        elif passages:
-            run.append((number, unit))
-    yield from passages_of(run, long_enough)
-
-
-def line_units(docs: DataFrame, min_words: int, passages: bool) -> DataFrame:
-    """(d1, d2, id, th, line, last) of every unit of (id, text, th)."""
+#: Words among which one cut point lies, and words that a run holds at least.
+WINDOW, MIN_RUN = 8, 20
+#: Distinct words whose hashes a task remembers.
+REMEMBERED = 500_000
+
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: First bytes of U+3000 to U+DFFF: scripts without spaces, and their punctuation.
+LONE = np.zeros(256, dtype=bool)
+LONE[0xE3:0xEE] = True
+
+
+class WordHashes(dict):
+    """The first 64 bits of a word's MD5."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = value = int.from_bytes(hashlib.md5(word, usedforsecurity=False).digest()[:8], "big")
+        return value
+
+
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) byte offsets of the words of a UTF-8 text."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    space = SPACE[data]
+    begins = ~space & np.r_[True, space[:-1]]
+    if (lone := LONE[data]).any():
+        at = np.flatnonzero((data & 0xC0) != 0x80)  # code points
+        own = lone[at]
+        begins[at[own]] = True
+        behind = at[1:][own[:-1]]
+        begins[behind[~space[behind]]] = True
+    starts = np.flatnonzero(begins)
+    # a word ends at the next word or at white space, whichever comes first
+    stops = np.append(np.flatnonzero(space), len(data))
+    ends = np.minimum(np.append(starts[1:], len(data)), stops[np.searchsorted(stops, starts)])
+    return starts, ends
+
+
+def cut_points(hashes: np.ndarray) -> np.ndarray:
+    """Positions of the least hash (the last of equal ones) of every WINDOW consecutive words."""
+    n = len(hashes)
+    if n < WINDOW:
+        return np.zeros(0, dtype=np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(hashes[::-1], WINDOW).argmin(axis=1)
+    return np.unique(n - 1 - (np.arange(n - WINDOW + 1) + least))
+
+
+def run_units(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word behind the last) of the shortest long enough runs from and up to every cut point."""
+    if not len(points):
+        return points, points
+    i = np.arange(len(points))
+    onward = np.searchsorted(points, points + MIN_RUN)
+    back = np.searchsorted(points, points - MIN_RUN, side="right") - 1
+    pairs = np.unique(np.r_[i[onward < len(points)] * len(points) + onward[onward < len(points)], back[back >= 0] * len(points) + i[back >= 0]])
+    return points[pairs // len(points)], points[pairs % len(points)]
+
+
+def line_units(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word behind the last) of every line of at least MIN_WORDS words."""
+    breaks = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == 0x0A)
+    edges = np.r_[0, np.searchsorted(starts, breaks), len(starts)]
+    long = np.diff(edges) >= MIN_WORDS
+    return edges[:-1][long], edges[1:][long]
+
+
+def units_of(text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(first word, word behind the last, digest) of every unit of one text."""
+    lower = text.lower()  # bytes: ASCII letters only
+    starts, ends = words_of(lower)
+    words = [lower[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    a, b = run_units(cut_points(np.array([hashes[w] for w in words], dtype=np.uint64)))
+    c, d = line_units(lower, starts)
+    pairs = np.unique(np.r_[a * (len(words) + 1) + b, c * (len(words) + 1) + d].astype(np.int64))
+    a, b = pairs // (len(words) + 1), pairs % (len(words) + 1)
+    blob = b" ".join(words)
+    at = np.r_[0, np.cumsum(ends - starts + 1)]
+    digest = xxhash.xxh3_128_intdigest
+    return a, b, [digest(blob[s:e]) for s, e in zip(at[a].tolist(), (at[b] - 1).tolist(), strict=True)]
+
+
+def all_units(docs: DataFrame) -> DataFrame:
+    """(d1, d2, id, th, a, b) of every unit of (id, text, th)."""
     id_type = dict(docs.dtypes)["id"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for part in batches(rows, 128):
-            digests, where, lines, lasts = [], [], [], []
-            for row, text in enumerate(part.column("text").to_pylist()):
-                for unit, line, last in text_units(text or "", min_words, passages):
-                    digests.append(xxhash.xxh3_128_digest(unit.encode()))
-                    where.append(row)
-                    lines.append(line)
-                    lasts.append(last)
-            d = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
-            rows_at = pa.array(where, pa.int64())
+            first, behind, digests, counts = [], [], [], []
+            for text in texts_as_bytes(part.column("text")):
+                a, b, found = units_of(text or b"", hashes)
+                first.append(a)
+                behind.append(b)
+                digests += found
+                counts.append(len(a))
+            rows_at = pa.array(np.repeat(np.arange(part.num_rows), counts))
+            low = np.array([x & 0xFFFFFFFFFFFFFFFF for x in digests], dtype=np.uint64).view(np.int64)
+            high = np.array([x >> 96 for x in digests], dtype=np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(d[:, 0]), pa.array(d[:, 1]), part.column("id").take(rows_at), part.column("th").take(rows_at),
-                    pa.array(lines, pa.int32()), pa.array(lasts, pa.int32()),
+                    pa.array(low), pa.array(high), part.column("id").take(rows_at), part.column("th").take(rows_at),
+                    pa.array(np.concatenate(first).astype(np.int32)), pa.array(np.concatenate(behind).astype(np.int32)),
                 ],
-                names=["d1", "d2", "id", "th", "line", "last"],
+                names=["d1", "d2", "id", "th", "a", "b"],
             )
 
-    return docs.mapInArrow(run, f"d1 long, d2 long, id {id_type}, th long, line int, last int")
-
-
-def split_text(text: str | None, removed: list[dict]) -> tuple[str | None, list[dict]]:
-    """The text without the removed stretches of lines, and the lines' (start, end) character offsets in the original."""
-    if text is None or not removed:
-        return text, []
-    lines = text.split("\n")
-    change = np.zeros(len(lines) + 1, dtype=np.int64)
-    np.add.at(change, [x["line"] for x in removed], 1)
-    np.add.at(change, [x["last"] + 1 for x in removed], -1)
-    gone, kept, spans, at = np.cumsum(change).tolist(), [], [], 0
-    for number, line in enumerate(lines):
-        if gone[number]:
-            spans.append({"start": at, "end": at + len(line)})
-        else:
-            kept.append(line)
-        at += len(line) + 1
-    return "\n".join(kept), spans
-
-
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: list[str] | None = None,
-    passages: bool = False,
-) -> DataFrame:
-    """(id, text, n_lines, n_removed, spans, rest): one row per input row, ``text`` without its repeated lines;
-    ``rest`` is a struct of the ``keep`` columns."""
+    return docs.mapInArrow(run, f"d1 long, d2 int, id {id_type}, th long, a int, b int")
+
+
+def cut_words(text: bytes | None, ranges: list[dict]) -> tuple[bytes | None, int, list[dict]]:
+    """The text without the words of ``ranges``, how many words went, and the (start, end) code point offsets they
+    had, white space up to the next word or the line's end included; a line without words left goes as a whole."""
+    if text is None or not ranges:
+        return text, 0, []
+    starts, ends = words_of(text.lower())
+    change = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.add.at(change, [x["a"] for x in ranges], 1)
+    np.add.at(change, [x["b"] for x in ranges], -1)
+    gone = np.cumsum(change[:-1]) > 0
+    data = np.frombuffer(text, dtype=np.uint8)
+    breaks = np.append(np.flatnonzero(data == 0x0A), len(data))
+    line = np.searchsorted(breaks, starts)
+    # a word's piece reaches to the next word of its line, or to the line's end
+    piece_end = np.minimum(np.append(starts[1:], len(data)), breaks[line])
+    keep = np.ones(len(data) + 1, dtype=bool)
+    keep[-1] = False
+    for s, e in zip(starts[gone].tolist(), piece_end[gone].tolist(), strict=True):
+        keep[s:e] = False
+    left = np.bincount(line[~gone], minlength=len(breaks))
+    held = np.bincount(line, minlength=len(breaks))
+    begin = np.r_[0, breaks[:-1] + 1]
+    lines = [x for x in range(len(breaks)) if left[x] or not held[x]]
+    for x in np.flatnonzero((left == 0) & (held > 0)).tolist():
+        keep[begin[x] : breaks[x]] = False
+    kept = b"\n".join([data[begin[x] : breaks[x]][keep[begin[x] : breaks[x]]].tobytes() for x in lines])
+    point = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+    edge = np.flatnonzero(np.diff(np.r_[False, ~keep[:-1], False].astype(np.int8)))
+    spans = [{"start": s, "end": e} for s, e in point[edge].reshape(-1, 2).tolist()]
+    return kept, int(gone.sum()), spans
+
+
+def dedup_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(id, text, n_removed, spans, rest): one row per input row, ``text`` without its repeated words, how many they
+    were and where; ``rest`` is a struct of the ``keep`` columns."""
     prepare(docs.sparkSession)
     rest = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(0)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"), rest.alias("rest"))
-    units = cut(line_units(source.drop("rest"), min_words, passages), "lines-units")
-    place = F.struct("id", "th", "line", "last")
-    # written out, so that the join knows its size: broadcast while small, else a sort-merge join AQE can split at a hot line
-    repeated = cut(units.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "lines-repeated")
+    units = cut(all_units(source.drop("rest")), "units")
+    # Most units are unique: they are counted by digest alone, and places meet those of repeated digests only. The repeated digests are
+    # written out, so that the join knows their size: broadcast while small, else a sort-merge join AQE can split at a hot line
+    repeated = cut(units.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2"), "units-repeated")
+    places = cut(units.join(repeated, ["d1", "d2"]), "units-places")
+    first = cut(places.groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "a", "b")).alias("first")), "units-first")
     # an occurrence that begins inside the first one is no repeat of it
-    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")) & (F.col("line") <= F.col("first.last"))
-    later = units.join(repeated, ["d1", "d2"]).where(~same)
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("th") == F.col("first.th")) & (F.col("a") < F.col("first.b"))
     removed = cut(
-        later.groupBy("id", "th").agg(F.collect_set(F.struct("line", "last")).alias("lines"))
-        .select(F.col("id").alias("rid"), F.col("th").alias("rth"), "lines"),
-        "lines-removed",
+        places.join(first, ["d1", "d2"]).where(~same).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+        .select(F.col("id").alias("rid"), F.col("th").alias("rth"), "ranges"),
+        "units-removed",
     )
-    joined = source.join(removed, source["id"].eqNullSafe(removed["rid"]) & (source["th"] == removed["rth"]), "left").select("id", "text", "lines", "rest")
-    id_type = dict(source.dtypes)["id"]
+    joined = source.join(removed, source["id"].eqNullSafe(removed["rid"]) & (source["th"] == removed["rth"]), "left").select("id", "text", "ranges", "rest")
+    id_type, rest_type = (dict(source.dtypes)[c] for c in ("id", "rest"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(rows, 128):
-            texts = part.column("text").to_pylist()
-            gone = [x or [] for x in part.column("lines").to_pylist()]
-            done = [split_text(t, g) for t, g in zip(texts, gone, strict=True)]
+            ranges = part.column("ranges").to_pylist()
+            done = [cut_words(t, r or []) for t, r in zip(texts_as_bytes(part.column("text")), ranges, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
-                    pa.array([t for t, _ in done], pa.string()),
-                    pa.array([0 if t is None else t.count("\n") + 1 for t in texts], pa.int64()),
-                    pa.array([len(s) for _, s in done], pa.int64()),
-                    pa.array([s for _, s in done], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    pa.array([t for t, _, _ in done], pa.binary()).cast(pa.string()),
+                    pa.array([n for _, n, _ in done], pa.int64()),
+                    pa.array([s for _, _, s in done], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     part.column("rest"),
                 ],
-                names=["id", "text", "n_lines", "n_removed", "spans", "rest"],
+                names=["id", "text", "n_removed", "spans", "rest"],
             )
 
-    rest_type = dict(source.dtypes)["rest"]
-    return joined.mapInArrow(
-        run, f"id {id_type}, text string, n_lines long, n_removed long, spans array<struct<start: long, end: long>>, rest {rest_type}"
-    )
+    return joined.mapInArrow(run, f"id {id_type}, text string, n_removed long, spans array<struct<start: long, end: long>>, rest {rest_type}")

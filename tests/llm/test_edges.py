@@ -15,7 +15,7 @@ from navstream.llm.simhash_golay import simhash_groups
 from navstream.llm.source_mix import mix_sources
 from navstream.llm.token_counts import token_counts
 from navstream.llm.toxicity import toxicity_scores
-from navstream.llm.unit_dedup import dedup_lines
+from navstream.llm.unit_dedup import dedup_units
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 OPERATORS = {
@@ -24,7 +24,7 @@ OPERATORS = {
     "mix": lambda d, y: mix_sources(d),
     "quality": quality_scores,
     "toxicity": toxicity_scores,
-    "lines": lambda d, y: dedup_lines(d),
+    "units": lambda d, y: dedup_units(d),
     "tokens": lambda d, y: token_counts(d, public_tokenizers.path("byte_bpe_50k.json")),
     "simhash": lambda d, y: simhash_groups(d),
     "repeats": lambda d, y: remove_repeats(d),
