@@ -62,13 +62,13 @@ WITH l AS (
          translate(regexp_replace(piece, '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word
   FROM k
 ), least AS (
-  SELECT doc_id, g, min(substr(md5(word), 1, 16) || lpad((999999999 - g)::VARCHAR, 9, '0')) OVER eight AS m,
-         count(*) OVER eight AS here
-  FROM w WINDOW eight AS (PARTITION BY doc_id ORDER BY g ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+  SELECT doc_id, g, min(substr(md5(word), 1, 16) || lpad((999999999 - g)::VARCHAR, 9, '0')) OVER ten AS m,
+         count(*) OVER ten AS here
+  FROM w WINDOW ten AS (PARTITION BY doc_id ORDER BY g ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)
 ), points AS (
-  SELECT DISTINCT doc_id, 999999999 - substr(m, 17)::BIGINT AS p FROM least WHERE here = 8
+  SELECT DISTINCT doc_id, 999999999 - substr(m, 17)::BIGINT AS p FROM least WHERE here = 10
 ), near AS (
-  SELECT x.doc_id, x.p AS a, y.p AS b FROM points x JOIN points y ON y.doc_id = x.doc_id AND y.p >= x.p + 20 AND y.p <= x.p + 27
+  SELECT x.doc_id, x.p AS a, y.p AS b FROM points x JOIN points y ON y.doc_id = x.doc_id AND y.p >= x.p + 20 AND y.p <= x.p + 29
 ), spans AS (
   SELECT doc_id, a, min(b) AS b FROM near GROUP BY doc_id, a
   UNION SELECT doc_id, max(a), b FROM near GROUP BY doc_id, b
