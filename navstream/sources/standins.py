@@ -59,8 +59,8 @@ def dirty_clickstream_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def edits_from_events(events: DataFrame, time_type: str = "timestamp_ntz") -> DataFrame:
-    """Edit rows: wiki/title/user/type/bot/event_time/size_delta/rev_new, with NULL bots and deltas."""
+def edits_from_events(events: DataFrame, time_type: str = "timestamp_ntz", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Edit rows: wiki/title/user/type/bot/event_time/size_delta/rev_new, with NULL bots and deltas (and ``carry`` columns)."""
     uid, eid = F.col("user_id"), F.col("event_id")
     wiki = F.when(uid % 4 == 0, "dewiki").when(uid % 4 == 1, "frwiki").otherwise("enwiki")
     return events.select(
@@ -76,6 +76,7 @@ def edits_from_events(events: DataFrame, time_type: str = "timestamp_ntz") -> Da
         .alias("size_delta"),
         F.when(eid % 13 == 0, F.lit(None).cast("bigint")).otherwise(eid).alias("rev_new"),
         F.col("props").alias("comment"),
+        *[c for c in carry if c != "event_id"],
     )
 
 
@@ -85,7 +86,7 @@ def edit_payloads_from_events(events: DataFrame, *carry: str) -> DataFrame:
     Derived columns: epoch-second timestamp, a ``length`` struct whose difference is the size delta
     (``old`` absent when the delta is unknown) and a ``revision`` struct (absent without a revision).
     """
-    edits = edits_from_events(events, time_type="timestamp")
+    edits = edits_from_events(events, time_type="timestamp", carry=carry)
     base_len = (F.col("rev_new") % 1000 + 100).cast("int")
     payload = edits.select(
         *carry,
@@ -108,9 +109,9 @@ def edit_payloads_from_events(events: DataFrame, *carry: str) -> DataFrame:
     return payload
 
 
-def edit_records_from_events(events: DataFrame) -> DataFrame:
-    """``key, value`` records as the producer publishes them: keyed JSON edit events."""
-    return to_bus_records(edit_payloads_from_events(events))
+def edit_records_from_events(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``key, value`` records as the producer publishes them: keyed JSON edit events (after the ``carry`` columns)."""
+    return to_bus_records(edit_payloads_from_events(events, *carry), carry=carry)
 
 
 def dirty_edit_records_from_events(events: DataFrame) -> DataFrame:
