@@ -22,6 +22,7 @@ from navstream.plans.quality_job import validate_and_quarantine
 from navstream.session import ensure_utc, run_folder
 from navstream.settings import BatchSettings, StreamSettings
 from navstream.plans.batch_job import CHECKED, STATUS, run_batch
+from navstream.plans.feeds import record_stream_in_slices
 from navstream.sinks.bus import publishable
 from navstream.sinks.streams import parquet_append
 from navstream.sinks.tables import write_partitioned
@@ -433,32 +434,13 @@ def edits_only_wiki(spark, sf_dir):
     return _silver_columns(E.parse_edit_records(publishable(payload, wiki="enwiki")))
 
 
-SLICES = 6
-
-
-def _record_stream_in_slices(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The events as time-ordered slices, each written after the one before and read one per trigger; every
-    slice delivers a tenth of the slice before it again."""
-    ensure_utc(spark)
-    events = standins.table(spark, sf_dir, "events").withColumn("s", F.unix_seconds(F.col("ts").cast("timestamp")))
-    path = f"{run_folder(spark, name + '-feed')}/records"
-    low, high = events.agg(F.min("s"), F.max("s")).first()
-    width = ((high or 0) - (low or 0)) // SLICES + 1
-    slice_no = F.floor((F.col("s") - F.lit(low or 0)) / width)
-    for k in range(SLICES):
-        again = (slice_no == k - 1) & (F.col("event_id") % 10 == 0)
-        own = events.where((slice_no == k) | again).drop("s")
-        standins.edit_records_from_events(own).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 def edits_dedup_stream_slices(spark, sf_dir):
-    records = _record_stream_in_slices(spark, sf_dir, "edits_dedup_stream_slices")
+    records = record_stream_in_slices(spark, sf_dir, "edits_dedup_stream_slices")
     return _silver_columns(_run_to_table(spark, silver_edits(records, STREAM), "edits_dedup_stream_slices"))
 
 
 def edits_per_wiki_stream_slices(spark, sf_dir):
-    records = _record_stream_in_slices(spark, sf_dir, "edits_per_wiki_stream_slices")
+    records = record_stream_in_slices(spark, sf_dir, "edits_per_wiki_stream_slices")
     out = _run_to_table(spark, E.edits_per_wiki(silver_edits(records, STREAM), "1 hour"), "edits_per_wiki_stream_slices")
     return _ntz(out, "window_start", "window_end")
 

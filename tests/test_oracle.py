@@ -9,9 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from navstream.plans.catalog import QUERIES
 from helpers import SF_ORACLE, SF_SMALL
 
+QUERIES = entry.QUERIES
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -58,6 +58,28 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(got, df.columns) == _canon(want, cols)
 
 
+#: Query -> (column, descending) by which its rows are sorted.
+SORTED = {
+    "monthly_trend": (("curr", False), ("month", False)),
+    "months_loaded": (("month", False),),
+    "month_picker": (("month", True),),
+    "dq_summary": (("month", False), ("count", True)),
+    "dash_trend_top10": (("month", False), ("curr", False)),
+    "dash_trend_top10_threshold": (("month", False), ("curr", False)),
+    "edit_rate_series": (("window_start", False),),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SORTED))
+def test_sorted_queries_come_in_order(spark, name):
+    got = [r.asDict() for r in entry.queries()[name](spark, SF_ORACLE).collect()]
+    want = got
+    for column, descending in reversed(SORTED[name]):  # stable: the last key first
+        want = sorted(want, key=lambda r: r[column], reverse=descending)
+    keys = [c for c, _ in SORTED[name]]
+    assert got and [[r[c] for c in keys] for r in got] == [[r[c] for c in keys] for r in want]
+
+
 @pytest.mark.parametrize("name", ["top_articles_indegree", "dq_counts", "edits_per_wiki_stream"])
 def test_queries_run_on_smallest_tables(spark, name):
     assert entry.queries()[name](spark, SF_SMALL).count() >= 0
