@@ -10,8 +10,9 @@ Data passes over the raw input once:
 4. link-pair sums are written once as the month-partitioned table ``link_pairs``; the pair board and the
    out-degree board (sum + exact distinct targets) are ranked from it.
 
-All writes replace only the months of this run (dynamic overwrite), and partitions this run emptied (months
-without clean rows, months without links) are removed from every mart, so re-running a month is idempotent.
+Marts that do not feed each other are written at the same time. All writes replace only the months of this run (dynamic
+overwrite), and partitions this run emptied (months without clean rows, months without links) are removed from every mart, so re-running a
+month is idempotent.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from navstream.operators.quality import ANY_VIOLATION, RAW_MONTH, REASON, month_
 from navstream.operators.ranking import top_k
 from navstream.plans.quality_job import QUARANTINE_SORT
 from navstream.schemas import CHECKED_SCHEMA, CLICKSTREAM_SCHEMA, MART_SCHEMAS
-from navstream.session import build_session
+from navstream.session import build_session, together
 from navstream.settings import BatchSettings
 from navstream.sinks.tables import drop_partitions, preview, write_partitioned
 from navstream.sources.clickstream import read_clickstream
@@ -123,27 +124,34 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     clean = this_run.filter(F.col(STATUS) == "clean").select(*CLICKSTREAM_SCHEMA.fieldNames(), "month")
     bad = this_run.filter(F.col(STATUS) == "quarantine").select(*CLICKSTREAM_SCHEMA.fieldNames(), REASON, RAW_MONTH, "month")
 
-    write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT)
-    drop_partitions(spark, settings.quarantine_dir, "month", no_bad)
-    report.written.append(settings.quarantine_dir)
+    trend_path, indegree_path = _out(settings, "monthly_trend"), _out(settings, "top_articles_indegree")
+    links_path, pairs_path, outdegree_path = (_out(settings, m) for m in (LINK_PAIRS, "top_link_pairs", "top_articles_outdegree"))
+
+    def quarantine() -> None:
+        write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT)
+        drop_partitions(spark, settings.quarantine_dir, "month", no_bad)
 
-    trend_path = _out(settings, "monthly_trend")
-    write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
-    trend = read_table(spark, trend_path, MART_SCHEMAS["monthly_trend"]).filter(_month_filter(months))
-    indegree_path = _out(settings, "top_articles_indegree")
     # Top-N marts hold at most n rows per month: AQE joins their folders into few tasks, and nothing is sampled.
-    write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), rebalance=True)
+    def trend_and_board() -> None:
+        write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
+        trend = read_table(spark, trend_path, MART_SCHEMAS["monthly_trend"]).filter(_month_filter(months))
+        write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), rebalance=True)
 
     # The pair aggregate feeds two marts: it is written once, compressed and pruned by month, and a lost
     # executor costs a re-read of it, not the scan and the shuffle.
-    links_path = _out(settings, LINK_PAIRS)
-    write_partitioned(C.link_pairs(clean), links_path, sort_by=("prev", "curr"), rebalance=True)
-    pairs = read_table(spark, links_path, MART_SCHEMAS[LINK_PAIRS]).filter(_month_filter(months))
-    pairs_path, outdegree_path = _out(settings, "top_link_pairs"), _out(settings, "top_articles_outdegree")
-    top_pairs = C.top_link_pairs(clean, settings.top_n, pairs=pairs)
-    write_partitioned(top_pairs, pairs_path, sort_by=("prev", "curr"), rebalance=True)
-    top_out = C.top_articles_by_outdegree(clean, settings.top_n, pairs=pairs)
-    write_partitioned(top_out, outdegree_path, sort_by=("prev",), rebalance=True)
+    def pairs_and_boards() -> None:
+        write_partitioned(C.link_pairs(clean), links_path, sort_by=("prev", "curr"), rebalance=True)
+        pairs = read_table(spark, links_path, MART_SCHEMAS[LINK_PAIRS]).filter(_month_filter(months))
+        top_pairs = C.top_link_pairs(clean, settings.top_n, pairs=pairs)
+        top_out = C.top_articles_by_outdegree(clean, settings.top_n, pairs=pairs)
+        together(
+            spark,
+            lambda: write_partitioned(top_pairs, pairs_path, sort_by=("prev", "curr"), rebalance=True),
+            lambda: write_partitioned(top_out, outdegree_path, sort_by=("prev",), rebalance=True),
+        )
+
+    together(spark, quarantine, trend_and_board, pairs_and_boards)
+    report.written.append(settings.quarantine_dir)
     report.written += [trend_path, indegree_path, links_path, pairs_path, outdegree_path]
     return report
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from navstream.operators import deltas as D
 from navstream.operators.ranking import top_n_per_group
 from navstream.schemas import CLICKSTREAM_WITH_MONTH_SCHEMA
+from navstream.session import together
 from navstream.sinks.published import Manifest, current_manifest, publish, read_published, stage
 
 #: Folders of the totals over all months.
@@ -83,18 +84,28 @@ def apply_delivery(
     new = run.write("edges", delivery.where(F.col("month").isin(list(months))))
     changes = D.signed(new, old)
 
-    trend_deltas = D.sum_deltas(changes, ["month", "curr"])
-    trend = run.write("trend", D.merged(run.stored("trend"), trend_deltas, ["month", "curr"]))
-    pairs = run.write("pairs", D.merged(run.stored("pairs"), D.pair_deltas(changes), ["month", "prev", "curr"]))
-    degree_deltas = D.target_deltas(run.stored("pairs"), D.pair_deltas(changes))
-    degree = run.write("out_degree", D.merged(run.stored("out_degree"), degree_deltas, ["month", "prev"], (D.CLICKS, D.ROWS, "targets")))
-    # one change an article, from the months' changes
-    total_deltas = D.sum_deltas(changes, ["curr"])
-    bucket = F.lpad(F.pmod(F.xxhash64("curr"), F.lit(BUCKETS)).cast("string"), 2, "0")
-    run.write("totals", D.merged(run.stored("totals"), total_deltas, ["curr"]).withColumn("bucket", bucket))
-
-    ranked = lambda df, keys: top_n_per_group(df, ["month"], [D.CLICKS], keys, top_n)
-    run.write("top_articles_indegree", ranked(trend, ["curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
-    run.write("top_articles_outdegree", ranked(degree, ["prev"]).withColumnsRenamed({D.CLICKS: "total_clicks_sent", "targets": "unique_targets"}))
-    run.write("top_link_pairs", ranked(pairs, ["prev", "curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
+    def ranked(df: DataFrame, keys: list[str]) -> DataFrame:
+        return top_n_per_group(df, ["month"], [D.CLICKS], keys, top_n)
+
+    def trend_and_board() -> None:
+        deltas = D.sum_deltas(changes, ["month", "curr"])
+        trend = run.write("trend", D.merged(run.stored("trend"), deltas, ["month", "curr"]))
+        run.write("top_articles_indegree", ranked(trend, ["curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
+
+    def pairs_and_board() -> None:
+        pairs = run.write("pairs", D.merged(run.stored("pairs"), D.pair_deltas(changes), ["month", "prev", "curr"]))
+        run.write("top_link_pairs", ranked(pairs, ["prev", "curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
+
+    def degrees_and_board() -> None:
+        deltas = D.target_deltas(run.stored("pairs"), D.pair_deltas(changes))
+        degree = run.write("out_degree", D.merged(run.stored("out_degree"), deltas, ["month", "prev"], (D.CLICKS, D.ROWS, "targets")))
+        named = ranked(degree, ["prev"]).withColumnsRenamed({D.CLICKS: "total_clicks_sent", "targets": "unique_targets"})
+        run.write("top_articles_outdegree", named)
+
+    def totals() -> None:
+        # one change an article, from the months' changes
+        bucket = F.lpad(F.pmod(F.xxhash64("curr"), F.lit(BUCKETS)).cast("string"), 2, "0")
+        run.write("totals", D.merged(run.stored("totals"), D.sum_deltas(changes, ["curr"]), ["curr"]).withColumn("bucket", bucket))
+
+    together(spark, trend_and_board, pairs_and_board, degrees_and_board, totals)
     return publish(spark, root, base, run.changes, notes)

@@ -7,7 +7,10 @@ checkpoints go below the folder the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -83,3 +86,11 @@ def run_folder(spark: SparkSession, name: str) -> str:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     _RUNS[key] = scratch_path(spark, name)
     return _RUNS[key]
+
+
+def together(spark: SparkSession, *writes: Callable[[], object]) -> None:
+    """Independent writes at the same time: tasks of one fill the cores that the commits and last tasks of another leave idle. The
+    first failure is raised once all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+            done.result()
