@@ -12,7 +12,8 @@ from navstream.operators import edits as E
 from navstream.operators import quality as Q
 from navstream.operators import serving as S
 from navstream.operators.heavy_hitters import top_editors_per_window
-from navstream.operators.clickstream import monthly_trend
+from navstream.operators.clickstream import link_pairs, monthly_trend
+from navstream.operators.layout import clustered_both_ways
 from navstream.operators.sketches import month_sketches, targets_over
 from navstream.operators.threshold import trend_of_leaders_by_threshold
 from navstream.plans.feeds import record_stream_in_slices
@@ -24,6 +25,7 @@ from navstream.settings import StreamSettings
 from navstream.sinks.streams import parquet_append
 from navstream.sinks.tables import drop_partitions, write_partitioned
 from navstream.sources import standins
+from navstream.sources.lookup import INDEX_SCHEMA, file_index, lookup
 from navstream.sources.tables import read_mart
 from navstream.streaming.delivery import ROCKSDB, delivery_outcomes
 from navstream.streaming.pipeline import silver_edits
@@ -266,10 +268,38 @@ def targets_over_months(spark, sf_dir):
     return targets_over(kept, months, edges)
 
 
+# ---------------------------------------------------------------------------------------------
+# lookups
+
+#: Titles looked up, among them one that no file has.
+TITLES = ("17", "404", "no such title")
+PAIR_SCHEMA = "month string, prev string, curr string, total_clicks long"
+
+
+def title_lookup(spark, sf_dir):
+    """Trend rows of a few titles, from the files that an index of titles names."""
+    path = f"{run_folder(spark, 'title_lookup')}/monthly_trend"
+    trend = monthly_trend(_delivered(spark, sf_dir, corrected=False), ordered=False)
+    trend.repartitionByRange(32, "curr", "month").sortWithinPartitions("curr", "month").write.parquet(path)
+    schema = "month string, curr string, monthly_clicks long"
+    index = file_index(spark.read.schema(schema).parquet(path), "curr")
+    index.write.parquet(f"{path}_index")
+    return lookup(spark, path, schema, spark.read.schema(INDEX_SCHEMA).parquet(f"{path}_index"), "curr", TITLES)
+
+
+def pair_lookup_both_ways(spark, sf_dir):
+    """Links from one title and links to one title, from pairs laid out along a curve."""
+    path = f"{run_folder(spark, 'pair_lookup_both_ways')}/link_pairs"
+    clustered_both_ways(link_pairs(_delivered(spark, sf_dir, corrected=False)), 16).write.parquet(path)
+    kept = spark.read.schema(PAIR_SCHEMA).parquet(path)
+    return kept.where("prev = '7'").withColumn("asked", F.lit("from")).unionByName(kept.where("curr = '17'").withColumn("asked", F.lit("to")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         edits_update_mart, edits_supervised_mart, edits_delivery_outcomes, top_editors_top15, top_editors_top15_daily, upkeep_marts, upkeep_boards,
         published_boards_after_crash, incremental_load, dash_trend_top10_threshold, targets_over_months,
+        title_lookup, pair_lookup_both_ways,
     )
 }

@@ -72,4 +72,8 @@ SELECT month, curr, monthly_clicks FROM trend WHERE curr IN (SELECT curr FROM le
     "targets_over_months": f"""WITH {CLICKSTREAM},{_flagged('clickstream')}
 SELECT prev, count(DISTINCT curr) AS targets, true AS within FROM checked
 WHERE NOT bad AND type = 'link' AND month IN ('1994-01', '1994-02', '1994-03', '1995-03', '1996-07') GROUP BY prev""",
+    "title_lookup": f"{CLEAN},{TREND}\nSELECT * FROM trend WHERE curr IN ('17', '404', 'no such title')",
+    "pair_lookup_both_ways": f"""{CLEAN},
+pairs AS (SELECT month, prev, curr, CAST(sum(n) AS BIGINT) AS total_clicks FROM clean WHERE type = 'link' GROUP BY month, prev, curr)
+SELECT *, 'from' AS asked FROM pairs WHERE prev = '7' UNION ALL SELECT *, 'to' FROM pairs WHERE curr = '17'""",
 }
