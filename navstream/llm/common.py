@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders written while a step is built, per open ``cut_whole``.
+_BUILDING: list[list[str]] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` below the shared checkpoint folder and reads it back: lineage ends there, a lost
     executor costs a re-read instead of a re-run, and the shuffles behind ``df`` leave the disk."""
@@ -42,7 +46,37 @@ def cut(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    if _BUILDING:
+        _BUILDING[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def cut_whole(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``cut`` of what ``build`` returns; folders that building it wrote are deleted once it is written."""
+    _BUILDING.append([])
+    try:
+        df = build()
+        made = _BUILDING.pop()
+    except BaseException:
+        _BUILDING.pop()
+        raise
+    out = cut(df, name)
+    _delete(spark, made)
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder behind a table that ``cut`` returned and nothing reads any more."""
+    if path := getattr(df, "_scratch", None):
+        _delete(df.sparkSession, [path])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(id_col: str) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navstream.llm.common import cut
+from navstream.llm.common import cut, cut_whole, discard
 
 MAX_ROUNDS = 40
 
@@ -38,7 +38,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """(id, component) of every linked id but the least of its component, which is the component.
 
     ``links`` holds (a, b) in any order, repeats allowed. Each round is written to the shared folder; the
-    driver sees one count and one checksum per round. Links never outnumber the first round's, and
+    driver sees one count and one checksum per round, and a round's tables are deleted when the next one's are there. Links never outnumber the first round's, and
     minima are combined before each shuffle and written out, so their join back is a broadcast while they are few, else a
     sort-merge join whose tasks AQE splits at a hub.
     """
@@ -47,8 +47,9 @@ def components(links: DataFrame, name: str) -> DataFrame:
     )
     stamp = None
     for _ in range(MAX_ROUNDS):
-        now = cut(_large_star(now, name), f"{name}-links")
-        now = cut(_small_star(now, name), f"{name}-links")
+        before = now
+        now = cut_whole(links.sparkSession, f"{name}-links", lambda at=now: _small_star(cut(_large_star(at, name), f"{name}-links"), name))
+        discard(before)
         seen = tuple(now.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
         if seen == stamp or seen[0] == 0:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
