@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navstream.llm.common import WORD, cut
+from navstream.llm.common import WORD, cut, discard
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -83,6 +83,11 @@ def _rate(lam: Column, x: Column, max_copies: int) -> Column:
     return F.exp(F.least(lam * x, F.lit(math.log(max_copies))))
 
 
+def _exact_sum(value: Column) -> Column:
+    """A sum on a fixed grid: decimals add up alike in any order, so reruns agree to the last bit."""
+    return F.sum(value.cast("decimal(38, 12)")).cast("double")
+
+
 def solve_rates(cells: DataFrame, targets: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     """(src_null, src, lam) with sum(size * rate) = target in every source.
 
@@ -115,13 +120,14 @@ def solve_rates(cells: DataFrame, targets: DataFrame, max_copies: int = MAX_COPI
         sums = (
             cells.join(state, keys)
             .groupBy(*keys)
-            .agg(F.sum(mass).alias("g"), F.sum(F.when(free, mass * x).otherwise(0.0)).alias("slope"))
+            .agg(_exact_sum(mass).alias("g"), _exact_sum(F.when(free, mass * x).otherwise(0.0)).alias("slope"))
         )
         over = F.col("g") > F.col("target")
         lo = F.when(over, F.col("lo")).otherwise(F.greatest("lo", "lam"))
         hi = F.when(over, F.least("hi", "lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - (F.col("g") - F.col("target")) / F.when(F.col("slope") > 0, F.col("slope"))
         residual = F.abs(F.col("g") - F.col("target")) / F.col("target")
+        before = state
         state = cut(
             state.join(sums, keys)
             .withColumns({"lo": lo, "hi": hi, "newton": newton, "residual": residual})
@@ -135,10 +141,11 @@ def solve_rates(cells: DataFrame, targets: DataFrame, max_copies: int = MAX_COPI
             ),
             "mix-state",
         )
+        discard(before)
         worst = state.agg(F.max("residual")).first()[0]
         if worst is None or worst <= TOLERANCE:
-            break
-    return state.select(*keys, "lam")
+            return state.select(*keys, "lam")
+    raise RuntimeError(f"the mix did not settle in {MAX_STEPS} steps: largest relative residual {worst:.3g}")
 
 
 def extra_copies(cells: DataFrame) -> DataFrame:
