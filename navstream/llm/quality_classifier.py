@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ from navstream.llm.quality_rules import CAPITALS, CONTINUATION, LETTERS, SPACES,
 
 #: Size of the random map, kernel width, ridge strength per labelled row, folds, seed of the map.
 DIM, WIDTH, RIDGE, FOLDS, SEED = 192, 4.0, 1e-4, 4, 20
+#: Groups in which the sums of tasks are added first.
+GROUPS = 64
 STATS = (
     "log_words", "word_len", "word_len_sd", "capitals", "letters", "digits", "symbols", "bangs", "marks",
     "distinct", "repeat_cover", "same_next", "dup_lines", "line_words", "short_lines", "bytes_per_char",
@@ -108,7 +111,8 @@ def _moments(x: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def normal_equations(rows: DataFrame, fmap: FourierMap) -> np.ndarray:
-    """Per fold, [Z'Z | Z'y]: each task sums its own rows, and Spark adds the tasks' sums by matrix row.
+    """Per fold, [Z'Z | Z'y]: each task sums its own rows, and Spark adds the tasks' sums by matrix row in two steps, in
+    GROUPS groups of tasks and then across them, so no task adds up more than a share of all tasks.
 
     What reaches the driver is FOLDS x (DIM + 1) rows of DIM + 2 numbers, for any number of documents.
     """
@@ -123,13 +127,15 @@ def normal_equations(rows: DataFrame, fmap: FourierMap) -> np.ndarray:
                 own = part["fold"].to_numpy() == f
                 total[f] += z[own].T @ zy[own]
         if total.any():
-            yield pd.DataFrame({"cell": range(FOLDS * (width - 1)), "v": list(total.reshape(-1, width))})
+            group = TaskContext.get().partitionId() % GROUPS
+            yield pd.DataFrame({"cell": range(FOLDS * (width - 1)), "task": group, "v": list(total.reshape(-1, width))})
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"cell": part["cell"][:1], "v": [np.sum(part["v"].tolist(), axis=0)]})
+        return pd.DataFrame({"cell": part["cell"][:1], "task": part["task"][:1], "v": [np.sum(part["v"].tolist(), axis=0)]})
 
-    schema = "cell int, v array<double>"
-    found = rows.mapInPandas(run, schema).groupBy("cell").applyInPandas(add, schema).collect()
+    schema = "cell int, task int, v array<double>"
+    grouped = rows.mapInPandas(run, schema).groupBy("cell", "task").applyInPandas(add, schema)
+    found = grouped.groupBy("cell").applyInPandas(add, schema).collect()
     out = np.zeros((FOLDS * (width - 1), width))
     for r in found:
         out[r["cell"]] = r["v"]
