@@ -6,7 +6,8 @@ punctuation and obfuscated words. The learned lexicon holds words and word begin
 texts use far more often, kept by log-odds and a likelihood-ratio test.
 
 Labels come from rows outside the held-out fold only, and training uses at most about MAX_TRAIN of
-them, chosen by a hash of the id. Every document is scored, whole.
+them, chosen by a hash of the id. A fifth of these is for calibration: neither the lexicon nor the trees see it. Every document is
+scored, whole.
 
 Defined cases: a NULL text scores as an empty one; rows with equal ids are scored one by one; a NULL id
 is scored and counts as not held out; repeated labels average and count as toxic from 0.5; where the
@@ -178,7 +179,7 @@ def toxicity_scores(
     """The ``keep`` columns (the id by default), held_out, score and predicted, one row per input row."""
     keep = keep or [id_col]
     train = cut(labelled(docs, labels, id_col, text_col, label_id, label_col), "toxicity-train")
-    lexicon = learn_lexicon(train)
+    lexicon = learn_lexicon(train.where("part <> 0"))  # calibration rows stay unseen
     sample = cut(with_features(train, lexicon, "text", ["y", "part"]), "toxicity-features")
     vector = sample.withColumn("features", array_to_vector("x"))
     sizes = {(r["y"], r["fit"]): r["n"] for r in sample.groupBy("y", (F.col("part") != 0).alias("fit")).agg(F.count(F.lit(1)).alias("n")).collect()}
