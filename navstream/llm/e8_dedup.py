@@ -30,7 +30,9 @@ from navstream.llm.buckets import block_pairs, group_slices, verified_pairs
 from navstream.llm.common import batches, cut
 from navstream.llm.components import components, local_roots
 
-TABLES, BLOCKS, PROBES, SEED = 6, 2, 2, 8
+TABLES, BLOCKS, PROBES, SEED = 10, 2, 2, 8
+#: More than matrix products can be off.
+SLACK = 1e-9
 #: Length, in units of the lattice, of a projected difference at the threshold (root mean square).
 REACH = 0.42
 KEYS = PROBES**BLOCKS
@@ -174,6 +176,7 @@ def _links(pairs: DataFrame, threshold: float) -> DataFrame:
             units, dims = _matrix(t.column("unit"))
             cells = _keys_of(units, dims, salt, threshold).reshape(len(g), TABLES, KEYS)
             alike = lambda i, j: (salt[i] == salt[j]) & (dims[i] == dims[j])
+            cosine = lambda i, j: np.einsum("ij,ij->i", units[i], units[j]) >= threshold
 
             def first_cell(i: np.ndarray, j: np.ndarray) -> np.ndarray:
                 """True where this cell is the first one the pair shares."""
@@ -187,9 +190,12 @@ def _links(pairs: DataFrame, threshold: float) -> DataFrame:
             links, root, at = np.zeros(len(g), dtype=np.int64), np.arange(len(g)), np.arange(len(g))
             for i, j in verified_pairs(
                 g, own, lo, hi,
-                lambda i, j: (np.einsum("ij,ij->i", units[i], units[j]) >= threshold) & alike(i, j),
-                lambda a, b: (units[a] @ units[b].T >= threshold) & (salt[a][:, None] == salt[b]) & (dims[a][:, None] == dims[b]),
+                lambda i, j: cosine(i, j) & alike(i, j),
+                # matrix products differ from sums over rows in their last bits: the latter decide
+                lambda a, b: (units[a] @ units[b].T >= threshold - SLACK) & (salt[a][:, None] == salt[b]) & (dims[a][:, None] == dims[b]),
             ):
+                sure = np.concatenate([cosine(i[s : s + 20_000], j[s : s + 20_000]) for s in range(0, len(i), 20_000)])
+                i, j = i[sure], j[sure]
                 for s in range(0, len(i), 20_000):
                     pi, pj = i[s : s + 20_000], j[s : s + 20_000]
                     keep = first_cell(pi, pj)
