@@ -43,8 +43,9 @@ WITH d AS (
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
-       fail_bits = 0 AS kept, fail_bits
-FROM bits
+       fail_bits = 0 AS kept, fail_bits, sole_rule,
+       CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY fail_bits) END AS freed_without_rule
+FROM (SELECT *, CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'repeated_lines' WHEN 16 THEN 'word_length' WHEN 32 THEN 'capitals' WHEN 64 THEN 'exclamation' END AS sole_rule FROM bits)
 """
 
 WORD_PIECE = r"(?:[\x{3000}-\x{D7FF}]|[^\x20\x09-\x0D\x{3000}-\x{D7FF}]+)"

@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navstream.llm.common import table
+from navstream.llm.common import cut, table
 from navstream.llm.e8_dedup import embedding_groups
 from navstream.llm.fill_middle import fill_in_middle, restored
 from navstream.llm.prefix_doubling import remove_repeats
 from navstream.llm.prefix_trie import prefix_trie
 from navstream.llm.quality_classifier import quality_scores
-from navstream.llm.quality_rules import BASE, MEASURES, V1, apply_policies, rule_ledger
+from navstream.llm.quality_rules import BASE, MEASURES, RULES, V1, ablation, apply_policies, rule_ledger
 from navstream.llm.sentencepiece_codec import encode_documents
 from navstream.llm.simhash_golay import simhash_groups
 from navstream.llm.source_mix import mix_sources
@@ -27,28 +27,37 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality_rules(spark, sf_dir):
-    """Every document's ledger row under the base rules and the full policy."""
-    ledger = apply_policies(rule_ledger(table(spark, sf_dir, "documents")), (BASE, V1))
-    return ledger.select(
-        "doc_id", *MEASURES[:5], (~F.col("kept_base")).alias("base_failed"), F.col("kept_v1").alias("kept"), "fail_bits"
-    )
+    """Every document's ledger row under the base rules and the full policy, and the ablation of the full policy read
+    off the ledger: the rule that alone rejects the document, and how many documents the policy would keep beside its own without that rule."""
+    ledger = cut(apply_policies(rule_ledger(table(spark, sf_dir, "documents")), (BASE, V1)), "rules-ledger")
+    # one row a rule
+    freed = F.broadcast(ablation(ledger).select(F.col("rule").alias("sole_rule"), F.col("rejected_alone").alias("freed_without_rule")))
+    sole = F.coalesce(*[F.when(F.col("fail_bits") == r.mask, F.lit(r.name)) for r in RULES])
+    return (
+        ledger.withColumn("sole_rule", sole).join(freed, "sole_rule", "left")
+        .select("doc_id", *MEASURES[:5], (~F.col("kept_base")).alias("base_failed"), F.col("kept_v1").alias("kept"), "fail_bits", "sole_rule", "freed_without_rule")
+    )
 
 
 def op2_sentencepiece(spark, sf_dir):
-    """Every document's ids under the piece vocabulary, and whether they decode to the very text."""
+    """Every document's ids under the piece vocabulary, and whether they decode to the very text. The vocabulary is a BPE model, so
+    the pass keeps the one admissible predecessor in place of a best score (``sentencepiece_codec``)."""
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op3_source_mix(spark, sf_dir):
+    """Every document's copies in the mix of sources. A NULL text has size 0, a NULL source comes last."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
 
 
 def op4_quality_classifier(spark, sf_dir):
+    """Every document's calibrated quality score; a NULL text scores as an empty one."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_toxicity(spark, sf_dir):
+    """Every document's calibrated toxicity score; a NULL text scores as an empty one."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -59,10 +68,12 @@ def op6_substring_dedup(spark, sf_dir):
 
 
 def op7_token_counts(spark, sf_dir):
+    """Every document's tokens under the byte-level vocabulary; a NULL text has none."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op8_embedding_near_dedup(spark, sf_dir):
+    """Every vector's links and component; a vector that cannot be compared stands alone."""
     found = embedding_groups(table(spark, sf_dir, "embeddings"))
     return found.select(
         F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
@@ -71,6 +82,7 @@ def op8_embedding_near_dedup(spark, sf_dir):
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
+    """Every document's fingerprint and component; wordless texts have fingerprint zero."""
     found = simhash_groups(table(spark, sf_dir, "documents"))
     return found.select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -79,6 +91,7 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 def op10_suffix_array_dedup(spark, sf_dir):
+    """Every document without the bytes of 50-byte strings that start in a smaller id; a NULL text is empty."""
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
