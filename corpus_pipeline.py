@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from navstream.llm.common import cut, table
+from navstream.llm.common import cut_whole, discard, table
 from navstream.llm.sentencepiece_codec import encode_documents
 from navstream.llm.simhash_golay import simhash_groups
 from navstream.llm.source_mix import mix_sources
@@ -84,9 +84,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn. A stage's scratch, and its input, are deleted once what it returns is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = docs
+        docs = cut_whole(spark, f"pipeline-{name}", lambda run=stage, own=docs: run(spark, own, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
