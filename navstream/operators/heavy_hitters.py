@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from navstream.operators.edits import human_edits
 from navstream.operators.ranking import top_n_per_group
+from navstream.session import written
 
 #: Counters of a pane's summary in one task.
 WIDTH = 256
@@ -100,6 +101,7 @@ def top_editors_per_window(
     found = summaries(keyed, width)
     wide = found.select(F.explode(_windows("pane", window, slide)).alias("window_start"), "key", "counter", "error")
     by_key = wide.groupBy("window_start", "key").agg(F.sum("counter").alias("counter"), F.sum("error").alias("error"))
+    by_key = written(by_key, "editor-summaries")  # read several times below, made once
     # one row a key, and one a window for its error; the largest counters come next in the same partitioning
     error = by_key.where("key IS NULL").select("window_start", "error")
     counters = by_key.where("key IS NOT NULL").select("window_start", "key", "counter")
