@@ -7,10 +7,11 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
 from conftest_llm import documents
 
 import corpus_pipeline
-from navstream.llm import simhash_golay
+from navstream.llm import simhash_golay, source_mix
 from navstream.llm.unit_dedup import dedup_units
 
 
@@ -118,3 +119,26 @@ def test_fingerprints_without_an_id_link_the_others(spark, monkeypatch):
     monkeypatch.setattr(simhash_golay, "fingerprints", lambda *a: table)
     got = {r["fp"]: r["component"] for r in simhash_golay.simhash_groups(documents(spark, [])).collect()}
     assert got == {0b0: 3, 0b1111: 3, 0b11111111: 3, -1: None, -2: None}
+
+
+def test_large_cells_are_dealt_in_parts(spark, monkeypatch):
+    """Many documents of one size and source, some without an id, some of one id: extras are dealt part by part."""
+    monkeypatch.setattr(source_mix, "CELL_ROWS", 7)
+    rows = [(k, "one two three", "a") for k in range(500)] + [(None, "one two three", "a")] * 60 + [(77, "one two three", "a")] * 40
+    rows += [(1000 + k, "four words stand here", "b") for k in range(90)] + [(2000 + k, "x " * (k % 9), None) for k in range(200)]
+    runs = []
+    for parts in (3, 11):
+        mixed = source_mix.mix_sources(documents(spark, rows).repartition(parts)).collect()
+        assert len(mixed) == len(rows) and all(r["taken"] == r["copies"] * r["size"] and r["copies"] <= 3 for r in mixed)
+        for source in ("a", "b", None):
+            own = [r for r in mixed if r["source"] == source]
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own)
+        runs.append(sorted(((r["id"], r["size"], r["copies"]) for r in mixed), key=repr))
+    assert runs[0] == runs[1]
+
+
+def test_rates_that_do_not_settle_raise(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "MAX_STEPS", 1)
+    rows = [(k, "w " * (1 + k % 17), "ab"[k % 2]) for k in range(60)]
+    with pytest.raises(RuntimeError, match="did not settle"):
+        source_mix.mix_sources(documents(spark, rows)).collect()
