@@ -6,6 +6,7 @@ watermark, the deduplication state and the sinks are streaming-specific.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,19 +107,25 @@ def start_silver_first(
     return queries
 
 
-def await_any(spark: SparkSession, queries: dict[str, StreamingQuery], timeout: float | None = None) -> None:
-    """Blocks until any query ends (or ``timeout``); on interrupt stops all queries gracefully."""
+def await_any(spark: SparkSession, queries: dict[str, StreamingQuery], timeout: float | None = None, poll: float = 0.2) -> None:
+    """Blocks until any of these queries ends (or ``timeout``); on interrupt stops all of them gracefully.
+
+    Only the given queries count: what other queries of the session came to, failures that were handled among them, is not
+    theirs. A failure of one of them is raised once all are stopped.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
     try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
+        while all(q.isActive for q in queries.values()) and (deadline is None or time.monotonic() < deadline):
+            time.sleep(poll)
+        failed = [e for q in queries.values() if not q.isActive and (e := q.exception()) is not None]
     except KeyboardInterrupt:
-        pass
+        failed = []
     finally:
         for query in queries.values():
             if query.isActive:
                 query.stop()
+    if failed:
+        raise RuntimeError(f"streaming query failed: {failed[0]}")
 
 
 def drain(queries: dict[str, StreamingQuery]) -> None:

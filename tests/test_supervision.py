@@ -89,3 +89,21 @@ def test_ledger_reads_changed_dumps_only(spark, workdir):
     assert load_changed(spark, root, glob).months == ["2024-01"] and totals() == [("x", 2)]
     assert list_files(spark, f"{raw}/nothing*") == [] and content_digests(spark, []) == {}
     assert read_kept(spark, root, "edges").select(F.col("month")).distinct().count() == 1
+
+
+class _Ended:
+    isActive = False
+
+    def __init__(self, error=None):
+        self.error = error
+
+    def exception(self):
+        return self.error
+
+
+def test_waiting_counts_the_given_queries_only(spark):
+    from navstream.streaming.pipeline import await_any
+
+    await_any(spark, {"a": _Ended()})
+    with pytest.raises(RuntimeError, match="broke"):
+        await_any(spark, {"a": _Ended(), "b": _Ended(ValueError("broke"))})
