@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from navstream.operators import edits as E
 from navstream.operators import quality as Q
-from navstream.operators import serving as S
 from navstream.operators.heavy_hitters import top_editors_per_window
 from navstream.operators.clickstream import link_pairs, monthly_trend
 from navstream.operators.layout import clustered_both_ways

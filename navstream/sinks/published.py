@@ -131,7 +131,8 @@ def read_published(
     """A published table (or some partitions) as of a manifest, the newest by default; empty if it is not published.
     ``schema`` has the partition column; only the folders asked for are listed and read."""
     held = (manifest or current_manifest(spark, root)).partitions(table)
-    folders = [folder for value, folder in sorted(held.items()) if only is None or value in set(only)]
+    asked = held if only is None else set(only)
+    folders = [folder for value, folder in sorted(held.items()) if value in asked]
     if not folders:
         return spark.createDataFrame([], schema)
     base = f"{root.rstrip('/')}/{table}"
