@@ -18,7 +18,7 @@ DELIVERY = "delivery"
 
 
 def _stamp_in_order(spark: SparkSession, path: str) -> None:
-    """File times by delivery: the file source reads older files first."""
+    """File times by delivery: the file source reads older files first. Needs a file system whose times can be set (HDFS, local)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
