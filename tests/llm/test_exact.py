@@ -31,7 +31,7 @@ from navstream.llm.sentencepiece_codec import BPE, UNIGRAM, Codec
 from navstream.llm.simhash_golay import codewords, fingerprint, fuzzy_keys, golay_tables, simhash_groups
 from navstream.llm.source_mix import mix_sources
 from navstream.llm.token_counts import Counter as TokenCounter
-from navstream.llm.unit_dedup import dedup_lines
+from navstream.llm.unit_dedup import dedup_units
 
 SMALL = "/root/testdata/sf0.001"
 TEXT = st.text(alphabet="ab ▁\n.é日😀²1,\x1c<|endoftext|>", max_size=60)
@@ -174,10 +174,10 @@ _LAM: dict = {}
 def test_lines_keep_the_earliest_and_report_offsets(spark):
     unit = "One  Two three four FIVE six seven eight"
     rows = [(2, f"x\n{unit}\ny"), (1, f"{unit.lower()}\nshort line"), (3, f"{unit}"), (4, "short line")]
-    got = {r["id"]: r for r in dedup_lines(documents(spark, rows)).collect()}
+    got = {r["id"]: r for r in dedup_units(documents(spark, rows)).collect()}
     assert got[1]["n_removed"] == got[4]["n_removed"] == 0
     assert got[2]["text"] == "x\ny" and [tuple(s) for s in got[2]["spans"]] == [(2, 2 + len(unit))]
-    assert got[3]["text"] == "" and got[3]["n_lines"] == 1
+    assert got[3]["text"] == "" and got[3]["n_removed"] == 8
 
 
 def slow_repeated_bytes(rows, length):
