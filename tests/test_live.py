@@ -121,6 +121,43 @@ def test_every_delivery_has_an_outcome_and_state_empties(spark, workdir):
     assert delay_ms("5 minutes") == 300_000 and delay_ms("1 day") == 86_400_000
 
 
+@pytest.mark.parametrize("frame", [2, 10_000])
+def test_outcomes_of_many_keys_take_a_bounded_number_of_groups(spark, workdir, frame):
+    rng = random.Random(7)
+    feed = [[_event(rng.choice([*map(str, range(90)), None]), 400 * t + rng.randint(-500, 400), rng.choice("ab")) for _ in range(60)] for t in range(7)]
+    known, watermark, latest, expected = {}, 0, 0, Counter()
+    for part in feed:  # one state a key, forgotten at the end of the trigger whose watermark has passed it
+        for key, at, wiki, *_ in part:
+            ms = int(at.timestamp() * 1000)
+            outcome = "late" if ms <= watermark else "duplicate" if key in known else "kept"
+            if outcome == "kept":  # the first in order of time is kept
+                ms = min(int(a.timestamp() * 1000) for k, a, *_ in part if k == key and int(a.timestamp() * 1000) > watermark)
+                known[key] = ms + 300_000
+            expected[key, outcome] += 1
+        known = {k: until for k, until in known.items() if until > watermark}
+        latest = max(latest, *(int(e[1].timestamp() * 1000) for e in part))
+        watermark = latest - 300_000
+        _land(spark, workdir / "in", part)
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.execution.arrow.maxRecordsPerBatch": str(frame)}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = delivery_outcomes(_stream(spark, workdir / "in"), buckets=3)
+        query = (
+            out.writeStream.format("parquet").option("path", str(workdir / "out")).option("checkpointLocation", str(workdir / "ck"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert Counter((r["event_key"], r["outcome"]) for r in spark.read.parquet(str(workdir / "out")).collect()) == expected
+    assert min(expected[k] for k in expected) >= 1 and {o for _, o in expected} == {"kept", "duplicate", "late"}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert 0 < max(held) <= 3 * 3  # values and timers of three buckets, not of ninety keys
+
+
 def _editors(seed, n=3000, users=60):
     rng = random.Random(seed)
     weights = [1 / (k + 1) for k in range(users)]
