@@ -128,12 +128,12 @@ def run_batch(spark: SparkSession, settings: BatchSettings = BatchSettings(), ra
     links_path, pairs_path, outdegree_path = (_out(settings, m) for m in (LINK_PAIRS, "top_link_pairs", "top_articles_outdegree"))
 
     def quarantine() -> None:
-        write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT)
+        write_partitioned(bad, settings.quarantine_dir, sort_by=QUARANTINE_SORT, rebalance=True)
         drop_partitions(spark, settings.quarantine_dir, "month", no_bad)
 
     # Top-N marts hold at most n rows per month: AQE joins their folders into few tasks, and nothing is sampled.
     def trend_and_board() -> None:
-        write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",))
+        write_partitioned(C.monthly_trend(clean, ordered=False), trend_path, sort_by=("curr",), rebalance=True)
         trend = read_table(spark, trend_path, MART_SCHEMAS["monthly_trend"]).filter(_month_filter(months))
         write_partitioned(C.top_indegree_from_trend(trend, settings.top_n), indegree_path, sort_by=("curr",), rebalance=True)
 

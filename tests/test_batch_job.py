@@ -138,3 +138,18 @@ def test_an_empty_delivery_writes_nothing(spark, workdir):
     empty = spark.createDataFrame([], "prev string, curr string, type string, n bigint, month string")
     report = run_batch(spark, _settings(workdir), raw=empty)
     assert (report.raw_rows, report.quarantined_rows, report.months) == (0, 0, [])
+
+
+def test_no_mart_is_computed_twice_for_a_sample_of_its_ranges(spark, workdir, monkeypatch):
+    (workdir / "raw").mkdir()
+    _dump(workdir / "raw/clickstream-enwiki-2024-10.tsv.gz", _lines(3, bad=True))
+    ranges = []
+    kind = type(spark.range(1))
+    real = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, *a: ranges.append(a) or real(self, *a))
+    settings = _settings(workdir)
+    run_batch(spark, settings)
+    clean = Q.clean_rows(read_clickstream(spark, settings.raw_glob))
+    assert rows(read_mart(spark, settings.output_dir, "monthly_trend"), "curr", "monthly_clicks") == rows(C.monthly_trend(clean), "curr", "monthly_clicks")
+    assert read_quarantine(spark, settings.quarantine_dir).count() == 3
+    assert ranges == []
