@@ -10,6 +10,8 @@ All aggregations are sums, so hot articles are combined before each shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +43,20 @@ def merged(stored: DataFrame, deltas: DataFrame, keys: Sequence[str], measures:
     return both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).where(F.col(ROWS) > 0)
 
 
-def target_deltas(stored_pairs: DataFrame, deltas: DataFrame) -> DataFrame:
+def stored_deltas(after: DataFrame, before: DataFrame, keys: Sequence[str], measures: Sequence[str] = (CLICKS, ROWS)) -> DataFrame:
+    """(keys, measures): what changed by group between two states of finer sums; unchanged groups are not in it."""
+    both = after.select(*keys, *measures).unionByName(before.select(*keys, *[(-F.col(m)).alias(m) for m in measures]))
+    out = both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+    return out.where(reduce(or_, [F.col(m) != 0 for m in measures]))
+
+
+def target_deltas(stored_pairs: DataFrame, deltas: DataFrame | None = None, after: DataFrame | None = None) -> DataFrame:
     """(month, prev, clicks, rows, targets): changes of out-degrees, from pairs before and after.
 
-    A pair counts as a target while it has rows; a NULL target never does.
+    A pair counts as a target while it has rows; a NULL target never does. Pass ``after`` (the :func:`merged` pairs) to reuse pairs that are
+    already written: pairs are unique, so nothing is exchanged by target.
     """
-    keys = ["month", "prev", "curr"]
-    before = stored_pairs.select(*keys, F.lit(0).alias(CLICKS), F.lit(0).alias(ROWS), F.col(ROWS).alias("held"))
-    change = deltas.select(*keys, CLICKS, ROWS, F.lit(0).alias("held"))
-    pairs = before.unionByName(change).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in (CLICKS, ROWS, "held")])
-    now, then = (F.col("held") + F.col(ROWS) > 0).cast("long"), (F.col("held") > 0).cast("long")
-    turned = pairs.withColumn("targets", F.when(F.col("curr").isNull(), 0).otherwise(now - then))
-    out = turned.groupBy("month", "prev").agg(*[F.sum(m).alias(m) for m in (CLICKS, ROWS, "targets")])
-    return out.where((F.col(CLICKS) != 0) | (F.col(ROWS) != 0) | (F.col("targets") != 0))
+    if after is None:
+        after = merged(stored_pairs, deltas, ["month", "prev", "curr"])
+    target = (F.col("curr").isNotNull() & (F.col(ROWS) > 0)).cast("long")
+    return stored_deltas(after.withColumn("targets", target), stored_pairs.withColumn("targets", target), ["month", "prev"], (CLICKS, ROWS, "targets"))

@@ -151,9 +151,7 @@ def _delivered(spark: SparkSession, sf_dir: str, corrected: bool) -> DataFrame:
 
 def _first_delivery(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = f"{run_folder(spark, name)}/published"
-    edges = _delivered(spark, sf_dir, corrected=False)
-    months = sorted(r["month"] for r in edges.select("month").distinct().collect())  # bounded by the calendar
-    apply_delivery(spark, root, edges, months)
+    apply_delivery(spark, root, _delivered(spark, sf_dir, corrected=False))
     return root
 
 

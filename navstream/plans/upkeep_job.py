@@ -71,17 +71,19 @@ class _Run:
 
 
 def apply_delivery(
-    spark: SparkSession, root: str, delivery: DataFrame, months: Sequence[str], top_n: int = 50,
+    spark: SparkSession, root: str, delivery: DataFrame, months: Sequence[str] | None = None, top_n: int = 50,
     on_staged: Callable[[str], None] | None = None, notes: Mapping[str, object] | None = None, base: Manifest | None = None,
 ) -> Manifest:
     """Replaces ``months`` by ``delivery`` (clean edges ``prev, curr, type, n, month`` of those months; a month without rows
-    becomes empty) in all tables. ``on_staged`` hears of every table written; ``notes`` commit with them. ``base`` is the manifest
+    becomes empty) in all tables; without ``months``, those that the delivery has rows of. ``on_staged`` hears of every table written; ``notes`` commit with them. ``base`` is the manifest
     the delivery starts from, the newest by default. Raises ``PublishConflict`` if another delivery
     was published meanwhile: apply it again."""
     base = base or current_manifest(spark, root)
-    run = _Run(spark, root, base, months, on_staged)
+    run = _Run(spark, root, base, months or (), on_staged)
+    new = run.write("edges", delivery if months is None else delivery.where(F.col("month").isin(list(months))))
+    if months is None:
+        run.months = sorted(run.changes["edges"])  # the folders written: no pass over the delivery to ask for its months
     old = run.stored("edges")
-    new = run.write("edges", delivery.where(F.col("month").isin(list(months))))
     changes = D.signed(new, old)
 
     def ranked(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -90,22 +92,25 @@ def apply_delivery(
     def trend_and_board() -> None:
         deltas = D.sum_deltas(changes, ["month", "curr"])
         trend = run.write("trend", D.merged(run.stored("trend"), deltas, ["month", "curr"]))
-        run.write("top_articles_indegree", ranked(trend, ["curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
+        board = ranked(trend, ["curr"]).withColumnRenamed(D.CLICKS, "total_clicks")
+        together(spark, lambda: run.write("top_articles_indegree", board), lambda: totals(trend))
 
-    def pairs_and_board() -> None:
+    def pairs_and_boards() -> None:
         pairs = run.write("pairs", D.merged(run.stored("pairs"), D.pair_deltas(changes), ["month", "prev", "curr"]))
-        run.write("top_link_pairs", ranked(pairs, ["prev", "curr"]).withColumnRenamed(D.CLICKS, "total_clicks"))
+        board = ranked(pairs, ["prev", "curr"]).withColumnRenamed(D.CLICKS, "total_clicks")
+        together(spark, lambda: run.write("top_link_pairs", board), lambda: degrees_and_board(pairs))
 
-    def degrees_and_board() -> None:
-        deltas = D.target_deltas(run.stored("pairs"), D.pair_deltas(changes))
+    # Degrees and totals follow from the written pairs and trend, before and after: the edges are read once for each of the two.
+    def degrees_and_board(pairs: DataFrame) -> None:
+        deltas = D.target_deltas(run.stored("pairs"), after=pairs)
         degree = run.write("out_degree", D.merged(run.stored("out_degree"), deltas, ["month", "prev"], (D.CLICKS, D.ROWS, "targets")))
         named = ranked(degree, ["prev"]).withColumnsRenamed({D.CLICKS: "total_clicks_sent", "targets": "unique_targets"})
         run.write("top_articles_outdegree", named)
 
-    def totals() -> None:
+    def totals(trend: DataFrame) -> None:
         # one change an article, from the months' changes
         bucket = F.lpad(F.pmod(F.xxhash64("curr"), F.lit(BUCKETS)).cast("string"), 2, "0")
-        run.write("totals", D.merged(run.stored("totals"), D.sum_deltas(changes, ["curr"]), ["curr"]).withColumn("bucket", bucket))
+        run.write("totals", D.merged(run.stored("totals"), D.stored_deltas(trend, run.stored("trend"), ["curr"]), ["curr"]).withColumn("bucket", bucket))
 
-    together(spark, trend_and_board, pairs_and_board, degrees_and_board, totals)
+    together(spark, trend_and_board, pairs_and_boards)
     return publish(spark, root, base, run.changes, notes)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +141,30 @@ def test_unchanged_groups_cancel_out(spark):
 def test_missing_tables_read_as_empty(spark, workdir):
     assert rows(read_kept(spark, str(workdir / "none"), "trend")) == []
     assert read_table(spark, str(workdir / "none"), SCHEMA).columns == ["v", "month"]
+
+
+def test_a_delivery_names_its_months_itself(spark, workdir):
+    edges = lambda data: spark.createDataFrame(data, EDGES)
+    named, unnamed = str(workdir / "named"), str(workdir / "unnamed")
+    apply_delivery(spark, named, edges(FIRST), sorted({r[4] for r in FIRST}))
+    apply_delivery(spark, unnamed, edges(FIRST))
+    assert _read(spark, unnamed) == _read(spark, named) == _state(FIRST)
+    apply_delivery(spark, unnamed, edges(AGAIN))
+    assert _read(spark, unnamed) == _state(AGAIN + [r for r in FIRST if r[4] != "2024-01"])
+
+
+def test_targets_from_written_pairs_equal_those_from_deltas(spark):
+    rng = random.Random(3)
+    some = lambda: [(rng.choice("abc"), rng.choice(["x", "y", "z", None]), "link", rng.randint(0, 3), rng.choice(["2024-01", "2024-02"])) for _ in range(30)]
+    edges = lambda data: spark.createDataFrame(data, EDGES)
+    pairs = lambda data: edges(data).groupBy("month", "prev", "curr").agg(F.sum("n").alias("clicks"), F.count("*").alias("rows"))
+    old, new = some(), some()
+    after = pairs(new)
+    assert rows(target_deltas(pairs(old), after=after)) == rows(target_deltas(pairs(old), pair_deltas(signed(edges(new), edges(old)))))
+
+
+def test_a_union_with_an_unpublished_table_costs_no_exchange(spark, workdir):
+    sums = spark.range(100).withColumn("clicks", F.lit(1)).withColumn("rows", F.lit(1)).groupBy("id").agg(F.sum("clicks").alias("clicks"), F.sum("rows").alias("rows"))
+    stored = read_published(spark, str(workdir), "none", T.StructType([T.StructField(c, T.LongType()) for c in ("id", "clicks", "rows")]), "id")
+    plan = merged(stored, sums, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Exchange") == sums._jdf.queryExecution().executedPlan().toString().count("Exchange")
